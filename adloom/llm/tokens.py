@@ -49,7 +49,7 @@ class Encoder:
         self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
         self.split = regex.compile(PATTERN)
-        self.memo: dict[str, np.ndarray] = {}
+        self.memo: dict[str, list[int]] = {}
         # pair keys whose compatibility is known, sorted, and the answers
         self.keys = np.empty(0, np.int64)
         self.fits = np.empty(0, bool)
@@ -131,11 +131,10 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of whole texts."""
         cut = [self.split.findall(t.encode("utf-8", "replace").decode("utf-8")) if t else [] for t in texts]
-        new = list({w for words in cut for w in words} - self.memo.keys())
-        fresh = dict(zip(new, self.encode_words(new)))
         if len(self.memo) > MEMO:
             self.memo.clear()
-            fresh.update((w, g) for w, g in zip((rest := list({w for words in cut for w in words} - fresh.keys())), self.encode_words(rest)))
+        new = list({w for words in cut for w in words} - self.memo.keys())
+        fresh = dict(zip(new, self.encode_words(new)))
         self.memo.update((w, g) for w, g in fresh.items() if len(w) <= MEMO_LENGTH)
         memo = self.memo
         out = []
