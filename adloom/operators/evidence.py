@@ -13,7 +13,7 @@ from adloom.functions.text import clean, fold, join_unique, snippet, split_multi
 
 # Words that make a skill wanted or merely welcome.
 PREFERRED = r"nice to have|a plus|advantage|preferabl|preferred|ideally|bonus|vyhodou|idealne|vitan|von vorteil|idealerweise|gern auch|un plus|apprecie"
-REQUIRED = r"required|must|mandatory|need|expect|necessary|nutn|vyzadujeme|potrebujeme|ocekavame|pozadujeme|erforderlich|erwarten|attendue|exige|souhaitee"
+REQUIRED = r"requir|must|mandatory|need|expect|necessary|nutn|vyzadujeme|potrebujeme|ocekavame|pozadujeme|erforderlich|erwarten|attendue|exige|souhaitee"
 
 
 def found(value: Column, evidence: Column) -> Column:
