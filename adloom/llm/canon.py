@@ -77,8 +77,10 @@ class Trie:
                 for entry in node.get("", ()):
                     found[entry] = min(found.get(entry, big), row[n])
             lo, hi = max(1, depth + 1 - k), min(n, depth + 1 + k)
+            # an exchange of neighbours reaches back over one row
+            alive = min(row) < k
             for ch, child in node.items():
-                if not ch or lo > hi:
+                if not ch:
                     continue
                 new = [big] * (n + 1)
                 if depth < k:
@@ -93,7 +95,7 @@ class Trie:
                         new[i] = cost
                         if cost < least:
                             least = cost
-                if least <= k:
+                if least <= k or alive:
                     stack.append((child, new, row, ch, depth + 1))
         return sorted((d, e) for e, d in found.items())
 

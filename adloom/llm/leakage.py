@@ -215,7 +215,8 @@ def find_leaks(documents: DataFrame, eval_items: DataFrame, ident: str = "doc_id
             many = [p for t in pdf["text"] for p in passages(fold(t))]
             r, c, v = sp.rows(many)
             edges = np.flatnonzero(np.diff(r)) + 1
-            yield pd.DataFrame({"terms": [x.astype(np.int32) for x in np.split(c, edges)], "weights": np.split(v, edges)} if len(r) else {"terms": [], "weights": []})
+            if len(r):
+                yield pd.DataFrame({"terms": pd.Series([x.astype(np.int32) for x in np.split(c, edges)], dtype=object), "weights": pd.Series(np.split(v, edges), dtype=object)})
 
     sparse = cut(docs.mapInPandas(build, "terms array<int>, weights array<float>"))
     own_passages = [(i, p) for i, ws in items.words.items() for p in passages(ws)]
