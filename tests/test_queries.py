@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -22,7 +23,7 @@ def duck(data):
 
 
 def _rows(df, columns):
-    plain = lambda v: None if v is None or v != v else float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else v
+    plain = lambda v: None if v is None or pd.isna(v) else float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else v
     return sorted(str([plain(v) for v in row]) for row in df[columns].astype(object).itertuples(index=False))
 
 
