@@ -68,7 +68,7 @@ UNFILLED = (
     "This is a test vacancy, please do not apply", "Created by QA on staging", "Sample job description for preview only, replace before publishing",
     "Insert the duties of the position in this paragraph", "Sem přijde popis pozice", "Your text here", "Text goes here", "Reason goes here", "Text doplnit",
     "TODO: write the text", "Item of the demo data", "Beschreibung folgt", "[object Object]", "lorem ipsum status", "Lorem ipsum dolor sit amet", "Hier steht der Text",
-    "Votre texte ici", "Description to be added", "Popis bude doplněn",
+    "Votre texte ici", "Texte à compléter", "Description to be added", "No description given", "Popis bude doplněn", "Žádný popis", "Text folgt in Kürze",
 )
 FILLER = (
     "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud",
@@ -225,12 +225,15 @@ def mashed(ws: list[str]) -> bool:
     struck = [w for w in ws if set(w) <= HOME_ROW]
     if len("".join(struck)) < 8 or len("".join(struck)) < 0.7 * len("".join(ws)) or not set(longest) <= HOME_ROW:
         return False
-    return bool(re.search(r"[^ae]{4}", longest)) or (len(longest) >= 8 and bool(re.search(r"[^ae]{3}", longest)))
+    return any(re.search(r"[^ae]{4}", w) for w in struck) or (len(longest) >= 8 and bool(re.search(r"[^ae]{3}", longest)))
 
 
 def whole_filler(text: str) -> bool:
     """Whether all that a field holds is a filler mark."""
-    t = fold(re.sub(r"[×|©]+", " ", html.unescape(TAG.sub(" ", text)))).strip(" \n\t\r\xa0")
+    t = re.sub(r"\[\d+\s*ms\]|\([0-9a-f]{8}\)|[×©]", " ", html.unescape(TAG.sub(" ", text)))
+    t = fold(t.split("|")[0]).strip(" \n\t\r\xa0")  # what follows a bar is the page's frame
+    if len(t) > 6 and any(len(w) > 6 and slips(t, w, 1) for w in WHOLE):
+        return True
     return t in WHOLE or bool(re.fullmatch(r"[-–—._\s]+", t) and re.search(r"[-–—._]", t)) or bool(re.fullmatch(r"(.)\1{2,}", t) and t.isalpha())
 
 
