@@ -56,6 +56,7 @@ COARSE = (
     " merde vermin putain salop gueul crevez nique encul nichon"
 ).split()
 ZERO_WIDTH = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
+MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u20d0-\u20ff]")
 PARTED = re.compile(r"(?<![^\W_])([^\W\d_])(?:([-._*\s|/~])[^\W\d_])(?:\2[^\W\d_])+(?![^\W_])")
 TOKEN = re.compile(r"[^\W_][^\s,;:()\"„“”«»…?]*")
 END = re.compile(r"(?<=[.!?…])\s+|\n+|[•·|]+|\s{2,}")
@@ -66,12 +67,26 @@ def plain(text: str) -> str:
     t = ZERO_WIDTH.sub("", unicodedata.normalize("NFKC", text))
     if re.search("[\u0370-\u04ff]", t):
         t = t.translate(LOOKALIKES)
-    t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).casefold()
+    if not t.isascii():
+        t = MARKS.sub("", unicodedata.normalize("NFKD", t))
+    t = t.casefold()
     return PARTED.sub(lambda m: re.sub(r"[^\w]|_", "", m.group(0)), t)
 
 
+_words: dict[str, str] = {}
+
+
 def word(token: str) -> str:
     """Disguises of a word undone: leet digits, stretched letters; stars stay."""
+    found = _words.get(token)
+    if found is None:
+        if len(_words) > 500_000:
+            _words.clear()
+        found = _words[token] = _word(token)
+    return found
+
+
+def _word(token: str) -> str:
     if re.search(r"[^\W\d_]", token):
         core = re.sub(r"[!.]+$", "", token)
         if re.search(r"[0134578@$!€+]", core) and not re.fullmatch(r"\d+[^\W\d_]{1,2}", core):
