@@ -103,13 +103,14 @@ _NAMES = "|".join(sorted((n.replace("_", r"[_\s]+") for n in SLOT_NAMES), key=le
 WEAK_SLOT = re.compile(rf"[\[{{«<#]\s*(?:{_NAMES})(?:\|\w+)?\s*[\]}}»>#]", re.I)
 TAG = re.compile(r"</?(?:h[1-6]|p|div|br|span|ul|ol|li|b|i|em|strong|a|html|head|body|title|table|tr|td|th|noscript|script|center|hr|section|article|main|header|footer|nav|meta|link|pre|code)(?:\s[^<>]*)?/?>", re.I)
 SLOT = "§slot"
+MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u20d0-\u20ff]")
 END = re.compile(r"(?<=[.!?])\s+|\n+|\s\.{3}\s|[|×•·…]+")
 WORD = re.compile(r"§slot|[^\W_]+")
 HOME_ROW = frozenset("asdfghjklqwe")
 
 
 def fold(text: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).casefold()
+    return (text if text.isascii() else MARKS.sub("", unicodedata.normalize("NFKD", text))).casefold()
 
 
 def windows(text: str) -> list[str]:
