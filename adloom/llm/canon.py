@@ -41,10 +41,14 @@ ABBREVIATIONS = (
 )
 
 
+MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u20d0-\u20ff]")
+WORD = re.compile(r"[^\W_]+")
+
+
 def fold(text: str) -> str:
     """Lower case, no accents, words parted by single blanks."""
-    plain = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).casefold()
-    return " ".join(re.findall(r"[^\W_]+", plain))
+    plain = text if text.isascii() else MARKS.sub("", unicodedata.normalize("NFKD", text))
+    return " ".join(WORD.findall(plain.casefold()))
 
 
 def reach(length: int) -> int:
