@@ -51,14 +51,23 @@ FEW = 2
 BLOCK = 256
 
 
+TAG = re.compile(r"</?[A-Za-z][^<>]{0,80}>")
+#: a word broken at the end of a line
+BROKEN = re.compile(r"(?<=[^\W\d_])[-\u2010]\s*\n[>\s]*(?=[^\W\d_])")
+#: invisible and combining marks
+MARKS = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff\u0300-\u036f\u1ab0-\u1aff\u20d0-\u20ff]")
+WORD = re.compile(r"[^\W_]+")
+
+
 def fold(text: str) -> list[str]:
     """Words without case, accents, markup or invisible marks."""
-    t = html.unescape(text)
-    t = re.sub(r"</?[A-Za-z][^<>]{0,80}>", " ", t)
-    t = re.sub("[\u00ad\u200b-\u200f\u2060\ufeff]", "", t)
-    t = re.sub(r"(?<=[^\W\d_])[-\u2010]\s*\n[>\s]*(?=[^\W\d_])", "", t)
-    t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).casefold()
-    return re.findall(r"[^\W_]+", t)
+    t = html.unescape(text) if "&" in text else text
+    if "<" in t:
+        t = TAG.sub(" ", t)
+    t = BROKEN.sub("", t)
+    if not t.isascii():
+        t = MARKS.sub("", unicodedata.normalize("NFKD", t))
+    return WORD.findall(t.casefold())
 
 
 def passages(words: list[str]) -> list[list[str]]:
@@ -67,11 +76,17 @@ def passages(words: list[str]) -> list[list[str]]:
     return [words[i : i + PASSAGE] for i in range(0, len(words) - STRIDE, STRIDE)]
 
 
-def common(item: list[str], doc: list[str]) -> int:
-    """Length of the longest common subsequence, bit-parallel."""
+def places(item: list[str]) -> dict[str, int]:
+    """Bit mask of each word's places."""
     mask: dict[str, int] = defaultdict(int)
     for i, w in enumerate(item):
         mask[w] |= 1 << i
+    return dict(mask)
+
+
+def common(item: list[str], doc: list[str], mask: dict[str, int] | None = None) -> int:
+    """Length of the longest common subsequence, bit-parallel."""
+    mask = places(item) if mask is None else mask
     full = state = (1 << len(item)) - 1
     for w in doc:
         if m := mask.get(w):
@@ -89,12 +104,13 @@ class Items:
         seen = Counter(w for ws in {tuple(x) for x in self.words.values()} for w in set(ws))
         self.rare = {i: {w for w in ws if seen[w] <= FEW} for i, ws in self.words.items()}
         self.terms = {w: k for k, w in enumerate(sorted(seen))}
+        self.masks = {i: places(ws) for i, ws in self.words.items()}
 
     def check(self, item: int, doc: list[str], have: set[str]) -> bool:
         ws, rare = self.words[item], self.rare[item]
         if rare and len(rare & have) < ANSWER * len(rare):
             return False
-        return common(ws, doc) >= SEQUENCE * len(ws)
+        return common(ws, doc, self.masks[item]) >= SEQUENCE * len(ws)
 
 
 class Space:
@@ -104,14 +120,17 @@ class Space:
         self.terms = terms
         self.idf = np.log((1 + total) / (1 + df)).astype(np.float32)
         self.idf[df > STOP * max(total, 1)] = 0
+        self.live = {w: k for w, k in terms.items() if self.idf[k] > 0}
 
     def rows(self, many: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, term, weight) of passages, rows of length 1; passages without
         terms have no entry."""
         r, c, v = [], [], []
         for k, ws in enumerate(many):
-            got = [(self.terms[w], n) for w, n in Counter(ws).items() if w in self.terms]
-            vals = [(t, (1 + math.log(n)) * float(self.idf[t])) for t, n in got if self.idf[t] > 0]
+            got = Counter([self.live[w] for w in ws if w in self.live])
+            if not got:
+                continue
+            vals = [(t, (1 + math.log(n)) * float(self.idf[t])) for t, n in got.items()]
             norm = math.sqrt(sum(x * x for _, x in vals))
             for t, x in vals:
                 r.append(k)
@@ -147,7 +166,7 @@ def _frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.ndarray, in
             for t in pdf["text"]:
                 for p in passages(fold(t)):
                     n += 1
-                    df.update(terms.keys() & set(p))
+                    df.update([w for w in set(p) if w in terms])
             yield pd.DataFrame({"term": [-1, *(terms[w] for w in df)], "n": [n, *df.values()]})
 
     df = np.zeros(len(terms))
