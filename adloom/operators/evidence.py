@@ -34,24 +34,33 @@ def sentences(x: Column) -> Column:
     return F.split(fold(x), r"(?<=[.!?;])\s+|\n+")
 
 
+def bind(x: Column, f) -> Column:
+    """f(x) with x evaluated once."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def skill_signal(pattern: str, skills: Column, prose: Column) -> Column:
-    """REQUIRED, PREFERRED, MENTIONED or NOT_MENTIONED of one skill.
+    """REQUIRED, PREFERRED, MENTIONED or NOT_MENTIONED of one skill, from the
+    sentences of the prose (see ``sentences``) and a list of skills.
 
     In prose a sentence counts; a word for "welcome" beats one for "wanted". A
-    listed skill marked "[required]", or left of a bar, is required; right of
-    it, preferred. If all prose says "welcome", prose beats the list.
+    listed skill left of a bar is required; right of it, preferred. If all prose
+    says "welcome", prose beats the list.
     """
-    hits = F.filter(sentences(F.coalesce(prose, F.lit(""))), lambda s: s.rlike(pattern))
-    soft, hard = F.exists(hits, lambda s: s.rlike(PREFERRED)), F.exists(hits, lambda s: s.rlike(REQUIRED) & ~s.rlike(PREFERRED))
-    all_soft = (F.size(hits) > 0) & F.forall(hits, lambda s: s.rlike(PREFERRED))
     listed = fold(F.coalesce(skills, F.lit("")))
     left, right = F.substring_index(listed, "|", 1), F.when(listed.contains("|"), F.regexp_replace(listed, r"^[^|]*\|", "")).otherwise("")
-    value = (
-        F.when(all_soft, "PREFERRED")
-        .when(left.rlike(pattern), "REQUIRED").when(right.rlike(pattern), "PREFERRED")
-        .when(hard, "REQUIRED").when(soft, "PREFERRED").when(F.size(hits) > 0, "MENTIONED").otherwise("NOT_MENTIONED")
-    )
-    return found(value, F.coalesce(F.get(hits, F.lit(0)), F.when(listed.rlike(pattern), listed), F.lit("")))
+
+    def weigh(hits: Column) -> Column:
+        soft, hard = F.exists(hits, lambda s: s.rlike(PREFERRED)), F.exists(hits, lambda s: s.rlike(REQUIRED) & ~s.rlike(PREFERRED))
+        all_soft = (F.size(hits) > 0) & F.forall(hits, lambda s: s.rlike(PREFERRED))
+        value = (
+            F.when(all_soft, "PREFERRED")
+            .when(left.rlike(pattern), "REQUIRED").when(right.rlike(pattern), "PREFERRED")
+            .when(hard, "REQUIRED").when(soft, "PREFERRED").when(F.size(hits) > 0, "MENTIONED").otherwise("NOT_MENTIONED")
+        )
+        return found(value, F.coalesce(F.get(hits, F.lit(0)), F.when(listed.rlike(pattern), listed), F.lit("")))
+
+    return bind(F.filter(prose, lambda s: s.rlike(pattern)), weigh)
 
 
 MONTHS = r"(\d{1,3})\s*\+?\s*(?:months?|mesic[a-z]*|monate?[a-z]*|mois)"
@@ -72,9 +81,13 @@ def minimum_months(x: Column, most: int = 120) -> Column:
     return F.array_max(F.filter(months, lambda n: (n > 0) & (n <= most)))
 
 
-def language_need(language: str, listed: Column, prose: Column) -> Column:
-    """NOT_REQUIRED, PREFERRED, REQUIRED, MENTIONED or NOT_MENTIONED."""
-    hits = F.filter(sentences(F.coalesce(prose, F.lit(""))), lambda s: s.rlike(language))
+def language_need(language: str, prose: Column) -> Column:
+    """NOT_REQUIRED, PREFERRED, REQUIRED, MENTIONED or NOT_MENTIONED, from the
+    sentences of the prose."""
+    return bind(F.filter(prose, lambda s: s.rlike(language)), lambda hits: _language(language, hits))
+
+
+def _language(language: str, hits: Column) -> Column:
     has = lambda p: F.exists(hits, lambda s: s.rlike(language + r"[^,.;]{0,30}(?:" + p + ")"))
     value = (
         F.when(has(r"not (?:required|needed|necessary)|neni podminkou|neni nutn"), "NOT_REQUIRED")

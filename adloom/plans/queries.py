@@ -351,11 +351,12 @@ def title_subtypes(spark, d):
 @query()
 def page_evidence(spark, d):
     """Skills, languages, experience, levels and work mode of every page."""
-    p = table(spark, d, "prospects_enriched_raw")
     prose = F.coalesce(F.col("Description"), F.lit(""))
-    skill = lambda name: evidence.skill_signal(rules.tool_pattern(name), F.col("Skills"), prose)["value"].alias(name.lower().replace(" ", "_"))
+    # exploded, so that the sentences are cut once for all extractors
+    p = table(spark, d, "prospects_enriched_raw").select("*", F.explode(F.array(evidence.sentences(prose))).alias("_sentences"))
+    skill = lambda name: evidence.skill_signal(rules.tool_pattern(name), F.col("Skills"), F.col("_sentences"))["value"].alias(name.lower().replace(" ", "_"))
     return p.select(
-        "row_id", skill("Python"), skill("SQL"), skill("Power BI"), evidence.language_need(r"czech|cestina|tcheque|tschechisch", F.col("Languages"), prose)["value"].alias("czech"),
+        "row_id", skill("Python"), skill("SQL"), skill("Power BI"), evidence.language_need(r"czech|cestina|tcheque|tschechisch", F.col("_sentences"))["value"].alias("czech"),
         evidence.english_acceptable(F.col("Languages"), F.col("Page_Language"), prose).alias("english"), evidence.minimum_years(prose).alias("years"), evidence.minimum_months(prose).alias("months"),
         evidence.levels(F.col("Seniority_Input"), F.col("Seniority_Detail")).alias("levels"), evidence.work_mode(F.col("Remote_Mode"), prose).alias("work_mode"),
         evidence.page_status(F.col("Current_Status"), F.col("HTTP_Status"), ["OPEN", "CLOSED", "LIKELY_OPEN", "LIKELY_CLOSED", "EXPIRED", "UNKNOWN"]).alias("status"),

@@ -80,7 +80,7 @@ def test_rules(spark):
 
 
 def test_evidence(spark):
-    skill = lambda prose, skills="": one(spark, prose, lambda x: evidence.skill_signal(rules.tool_pattern("Python"), F.lit(skills), x)["value"])
+    skill = lambda prose, skills="": one(spark, prose, lambda x: evidence.skill_signal(rules.tool_pattern("Python"), F.lit(skills), evidence.sentences(x))["value"])
     assert skill("We require Python. Tea is nice.") == "REQUIRED" and skill("Nice to have: Python.") == "PREFERRED"
     assert skill("Python here") == "MENTIONED" and skill("none") == "NOT_MENTIONED" and skill("none", "SQL | Python") == "PREFERRED"
     assert one(spark, "3-5 years of experience, 20 years of history, 2+ years", evidence.minimum_years) == 3
