@@ -41,8 +41,10 @@ EXTRA = 32
 POWER = 2
 #: least cosine of a candidate; measured recall against brute force is in the README
 COSINE = 0.5
-#: words that more than this share of the passages hold don't retrieve
-STOP = 0.05
+#: a word's weight falls no further beyond this share of the passages, so that no
+#: item loses its words: words that few items hold, other words
+OWN_SHARE = 0.05
+COMMON_SHARE = 0.5
 #: least share of an item's words in its order, and of the words it shares with few items
 SEQUENCE = 0.4
 ANSWER = 0.25
@@ -104,6 +106,7 @@ class Items:
         seen = Counter(w for ws in {tuple(x) for x in self.words.values()} for w in set(ws))
         self.rare = {i: {w for w in ws if seen[w] <= FEW} for i, ws in self.words.items()}
         self.terms = {w: k for k, w in enumerate(sorted(seen))}
+        self.few = np.array([seen[w] <= FEW for w in self.terms], bool)
         self.masks = {i: places(ws) for i, ws in self.words.items()}
 
     def check(self, item: int, doc: list[str], have: set[str]) -> bool:
@@ -116,18 +119,19 @@ class Items:
 class Space:
     """TF-IDF rows over the items' words, and their latent projection."""
 
-    def __init__(self, terms: dict[str, int], df: np.ndarray, total: int):
+    def __init__(self, terms: dict[str, int], df: np.ndarray, total: int, few: np.ndarray):
         self.terms = terms
-        self.idf = np.log((1 + total) / (1 + df)).astype(np.float32)
-        self.idf[df > STOP * max(total, 1)] = 0
-        self.live = {w: k for w, k in terms.items() if self.idf[k] > 0}
+        total = max(total, 1)
+        # copies of a leak raise the frequencies of its own words: every word keeps a weight
+        most = np.where(few, OWN_SHARE, COMMON_SHARE) * total
+        self.idf = np.log((1 + total) / (1 + np.minimum(df, most))).astype(np.float32)
 
     def rows(self, many: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, term, weight) of passages, rows of length 1; passages without
         terms have no entry."""
         r, c, v = [], [], []
         for k, ws in enumerate(many):
-            got = Counter([self.live[w] for w in ws if w in self.live])
+            got = Counter([self.terms[w] for w in ws if w in self.terms])
             if not got:
                 continue
             vals = [(t, (1 + math.log(n)) * float(self.idf[t])) for t, n in got.items()]
@@ -225,7 +229,7 @@ def find_leaks(documents: DataFrame, eval_items: DataFrame, ident: str = "doc_id
         return spark.createDataFrame([], out)
     docs = spread(documents.select(F.col(f"`{ident}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), "doc_id").where(F.col("text").rlike(r"(?U)\w"))
     df, total = _frequencies(docs, items.terms)
-    space = Space(items.terms, df, total)
+    space = Space(items.terms, df, total, items.few)
     shared = spark.sparkContext.broadcast((items, space))  # bounded by the item list
 
     def build(batches):

@@ -33,6 +33,16 @@ def test_finds_what_brute_force_finds(spark):
     assert len(got & want) >= 0.9 * len(want) and got <= want
 
 
+def test_copied_leak_is_found(spark):
+    items, docs = _corpus()
+    ws = items[0][1].split()
+    docs = docs[:60] + [(200 + k, items[0][1], "c") for k in range(60)] + [(300, "head " + " ".join(ws[:30]), "c"), (301, docs[0][1] + " " + " ".join(ws[20:]), "c")]
+    got = {tuple(r) for r in leakage.find_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    its = leakage.Items(items)
+    want = {(d, i) for d, t, _ in docs if t for i in its.words if its.check(i, leakage.fold(t), set(leakage.fold(t)))}
+    assert {(k, 0) for k in (*range(200, 260), 300, 301)} <= want and got == want
+
+
 def test_empty(spark):
     items, docs = _corpus()
     assert leakage.find_leaks(spark.createDataFrame([], DOCS), spark.createDataFrame(items, ITEMS)).count() == 0
