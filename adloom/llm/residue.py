@@ -2,8 +2,8 @@
 
 Labelled exemplars (kinds of residue, and sentences that only speak of such
 things) are words in an inverted index. Each field is cut into passage windows;
-a window retrieves the exemplars that share a word with it and is scored by
-TF-IDF containment: the share of an exemplar's weight that the window holds
+a window retrieves the exemplars that share a word with it, exactly or but for
+slips, and is scored by TF-IDF containment: the share of an exemplar's weight that the window holds
 (for filler: the share of the window's weight that the exemplar holds), with
 words one or two slips apart counting a little less. Document frequencies are
 counted over all windows of all fields. Unfilled slots become one word, so that
@@ -33,10 +33,10 @@ from adloom.session import spread
 COVERAGE = 0.72
 #: least coverage by a sentence about such things that clears a window with a slot
 TALK_COVERAGE = 0.55
-#: least share of an exemplar's weight that must be there without slips
-EXACT = 0.35
 #: least share of a window that filler covers
 FILLER_COVERAGE = 0.8
+#: words whose slips are kept in a worker's memory
+MEMO = 200_000
 
 # Labelled exemplars. -------------------------------------------------
 SCRIPT_NOTICES = (
@@ -154,6 +154,7 @@ class Index:
         self.total, self.df = max(total, 1), df
         self.exemplars: list[tuple[str, dict[str, float], float]] = []
         self.posting: dict[str, list[int]] = defaultdict(list)
+        self.memo: dict[str, list[tuple[str, float]]] = {}
         for kind, texts in (("notice", SCRIPT_NOTICES), ("error", ERROR_PAGES), ("unfilled", UNFILLED), ("filler", FILLER), ("about", SENTENCES_ABOUT)):
             for t in texts:
                 ws = Counter(words(t.replace("SLOT", SLOT)))
@@ -167,19 +168,22 @@ class Index:
             return 0.5
         return math.log(1 + self.total / (1 + self.df.get(word, 0)))
 
-    def coverage(self, weight: dict[str, float], total: float, have: set[str]) -> float:
-        """Containment of an exemplar in a window's words, slips allowed."""
-        got = 0.0
-        for w, x in weight.items():
-            if w in have:
-                got += x
-            elif len(w) > 3 and w != SLOT:
-                most = 1 if len(w) < 8 else 2
-                if any(len(h) > 2 and h[0] in (w[0], w[1]) and slips(w, h, most) for h in have):
-                    got += 0.9 * x
-            elif len(w) == 3 and not w.isdigit() and any(len(h) in (2, 3, 4) and sorted(h) == sorted(w) for h in have):
-                got += 0.8 * x
-        return got / total if total else 0.0
+    def near(self, h: str) -> list[tuple[str, float]]:
+        """Exemplar words that a window's word is a slip of, and how much each counts."""
+        if (known := self.memo.get(h)) is None:
+            known = []
+            for w in self.posting:
+                if w == h or w == SLOT:
+                    continue
+                if len(w) > 3:
+                    if len(h) > 2 and h[0] in (w[0], w[1]) and slips(w, h, 1 if len(w) < 8 else 2):
+                        known.append((w, 0.9))
+                elif len(w) == 3 and len(h) == 3 and not w.isdigit() and sorted(h) == sorted(w):
+                    known.append((w, 0.8))
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            self.memo[h] = known
+        return known
 
     def judge(self, window: str) -> str | None:
         """Kind of residue that a window is, or None."""
@@ -187,25 +191,25 @@ class Index:
         if not ws:
             return None
         have, hits = set(ws), defaultdict(float)
-        for w in have:
-            if ks := self.posting.get(w):
-                x = self.idf(w)
-                for k in ks:
-                    hits[k] += x
+        held = {w: 1.0 for w in have if w in self.posting}
+        for h in have:
+            for w, part in self.near(h):
+                held[w] = max(held.get(w, 0.0), part)
+        for w, part in held.items():
+            x = part * self.idf(w)
+            for k in self.posting[w]:
+                hits[k] += x
         best: tuple[float, str] = (0.0, "")
         about = 0.0
         for k, got in hits.items():
             kind, weight, total = self.exemplars[k]
-            # words with slips can add only so much: the rest can't match
-            if got < EXACT * total and kind != "filler":
-                continue
             if kind == "filler":
                 mass = sum(self.idf(w) for w in ws)
                 share = sum(self.idf(w) for w in ws if w in weight) / mass if mass else 0.0
                 if share >= FILLER_COVERAGE and len(ws) >= 3:
                     best = max(best, (share, kind))
                 continue
-            share = self.coverage(weight, total, have)
+            share = got / total
             if kind == "about":
                 about = max(about, share)
             elif share >= COVERAGE:

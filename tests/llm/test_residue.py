@@ -25,6 +25,13 @@ def test_cases(spark):
     assert _run(spark, BAD + GOOD) == list(range(len(BAD)))
 
 
+def test_short_notices_with_slips(spark):
+    # in each the rarest word has a slip; in the second no word is spelled right
+    bad = ["Beschrebiung folgt.", "Acess deneid", "Page introuvabe."]
+    usual = ["Access to the page is free. The text folgt here, page by page."] * 40
+    assert _run(spark, bad + usual) == [0, 1, 2]
+
+
 def test_repeats_and_empty(spark):
     assert _run(spark, ["TODO", "TODO"]) == [0, 1]
     assert _run(spark, []) == []
