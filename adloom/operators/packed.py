@@ -24,8 +24,6 @@ from adloom.session import cut
 
 #: rounds of expectation-maximisation; the split decisions settle after two
 ROUNDS = 4
-#: most slashes that one unquoted value may hold; runs may be of any length
-MOST_SLASHES = 12
 #: prior rate at which a slash parts values, by the blanks around it
 PRIOR = {"spaced": 0.9, "half": 0.8, "tight": 0.2}
 PRIOR_WEIGHT = 4.0
@@ -94,7 +92,7 @@ def candidates(run: str) -> list[tuple[int, int, str]]:
     whole = [_quoted(a) for a in atoms]
     out = []
     for i in range(len(atoms)):
-        for j in range(i, min(len(atoms), i + MOST_SLASHES + 1)):
+        for j in range(i, len(atoms)):
             if j > i and (whole[i] or whole[j]):
                 break  # a quoted span is a value of its own
             value = "/".join(atoms[i : j + 1]).strip()
@@ -106,6 +104,18 @@ def _log(x: float) -> float:
     return math.log(max(x, 1e-300))
 
 
+def _log_use(value: str, p: dict[str, float], n: int) -> float:
+    """Log frequency of a value in a run of n atoms; that of an unseen one stays
+    below any split of a long run into seen ones."""
+    x = p.get(value, 0.0) if value else 0.5
+    return math.log(x) if x > 1e-300 else _log(0.0) * max(1.0, n / 12)
+
+
+def _log_sum(xs: list[float]) -> float:
+    top = max(xs)
+    return top + math.log(sum(math.exp(x - top) for x in xs))
+
+
 def best_split(run: str, p: dict[str, float], rate: dict[str, float]) -> list[str]:
     """Viterbi over the lattice of a run."""
     atoms, styles = _spans(run)
@@ -113,12 +123,15 @@ def best_split(run: str, p: dict[str, float], rate: dict[str, float]) -> list[st
     n = len(atoms)
     best: list[tuple[float, int]] = [(0.0, 0)] + [(-math.inf, 0)] * n
     for j in range(n):
-        for i in range(j, max(-1, j - MOST_SLASHES - 1), -1):
-            if i < j and (whole[i] or whole[j]):
-                break
+        kept = 0.0  # of the slashes inside the value
+        for i in range(j, -1, -1):
+            if i < j:
+                if whole[i] or whole[j]:
+                    break
+                kept += _log(1 - rate[styles[i]])
             value = "/".join(atoms[i : j + 1]).strip()
-            score = best[i][0] + (_log(p.get(value, 0.0)) if value else _log(0.5))
-            score += sum(_log(1 - rate[s]) for s in styles[i:j]) + (_log(rate[styles[i - 1]]) if i else 0.0)
+            score = best[i][0] + _log_use(value, p, n)
+            score += kept + (_log(rate[styles[i - 1]]) if i else 0.0)
             if score > best[j + 1][0] + 1e-12:
                 best[j + 1] = (score, i)
     out, j = [], n
@@ -133,27 +146,27 @@ def best_split(run: str, p: dict[str, float], rate: dict[str, float]) -> list[st
 
 def expected(run: str, weight: float, p: dict[str, float], rate: dict[str, float]) -> tuple[dict[str, float], dict[str, list[float]]]:
     """Forward-backward over a run: expected uses of each value and, by style,
-    [parted, all] slashes, all times ``weight``."""
+    [parted, all] slashes, all times ``weight``; in logs, as runs may be long."""
     atoms, styles = _spans(run)
     n = len(atoms)
-    cost: dict[tuple[int, int], float] = {}
+    kept = [0.0]  # log chance that the first k slashes part nothing
+    for m in styles:
+        kept.append(kept[-1] + _log(1 - rate[m]))
+    starts: list[list[tuple[int, float]]] = [[] for _ in range(n)]  # by last atom
+    ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]  # by first atom
     for i, j, value in candidates(run):
-        x = p.get(value, 0.0) if value else 0.5
-        for s in styles[i:j]:
-            x *= 1 - rate[s]
-        if i:
-            x *= rate[styles[i - 1]]
-        cost[i, j] = max(x, 1e-300)
-    ahead, behind = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+        x = _log_use(value, p, n) + kept[j] - kept[i] + (_log(rate[styles[i - 1]]) if i else 0.0)
+        starts[j].append((i, x))
+        ends[i].append((j, x))
+    ahead, behind = [0.0] * (n + 1), [0.0] * (n + 1)
     for j in range(n):
-        ahead[j + 1] = sum(ahead[i] * cost[i, j] for i in range(max(0, j - MOST_SLASHES), j + 1) if (i, j) in cost)
+        ahead[j + 1] = _log_sum([ahead[i] + x for i, x in starts[j]])
     for i in range(n - 1, -1, -1):
-        behind[i] = sum(cost[i, j] * behind[j + 1] for j in range(i, min(n, i + MOST_SLASHES + 1)) if (i, j) in cost)
-    total = ahead[n] or 1e-300
+        behind[i] = _log_sum([x + behind[j + 1] for j, x in ends[i]])
     uses: dict[str, float] = {}
     marks: dict[str, list[float]] = {}
-    for (i, j), x in cost.items():
-        share = weight * ahead[i] * x * behind[j + 1] / total
+    for i, j, x in ((i, j, x) for i in range(n) for j, x in ends[i]):
+        share = weight * math.exp(min(0.0, ahead[i] + x + behind[j + 1] - ahead[n]))
         value = "/".join(atoms[i : j + 1]).strip()
         if value:
             uses[value] = uses.get(value, 0.0) + share

@@ -58,3 +58,15 @@ def test_viterbi_is_the_best_split(atoms, p):
             i = j
         splits.append(out)
     assert best < 1e-250 or got in splits
+
+
+def test_value_of_many_slashes(spark):
+    path = "/".join(f"p{k}" for k in range(16))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([path] * 5 + [f"Go, {path}"])], "row_id long, f string")
+    got = [(r["row_id"], r["value"]) for r in packed.explode_packed(df, ["f"]).orderBy("row_id", "position").collect()]
+    assert got == [(5, "Go"), (5, path)]
+
+
+def test_long_run_keeps_its_weight():
+    uses, marks = packed.expected("/".join("a" * 150), 2.0, {"a": 1e-3}, dict(packed.PRIOR))
+    assert abs(uses["a"] - 300) < 1e-6 and abs(marks["tight"][0] - 298) < 1e-6 and marks["tight"][1] == 298
