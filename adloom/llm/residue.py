@@ -92,11 +92,22 @@ SLOT_NAMES = (
 ).split()
 # -------------------------------------------------------------------------------------
 
-_W = r"[\w][\w .|\-]{0,38}"
+def _between(left: str, right: str, anything: str = r"[\s\S]") -> str:
+    """Any content but blanks between two marks, of any length; a further left
+    mark starts anew, so that unclosed ones cost no more than one pass."""
+    return rf"{left}(?!\s*{right})(?:(?!{left}|{right}){anything})+{right}"
+
+
+#: marks that prose and code also bear are closed on their line
+_LINE = r"[^\n]"
 STRONG_SLOT = re.compile(
-    rf"\{{\{{\s*{_W}\s*\}}\}}|\{{%\s*{_W}\s*%\}}|<%=?\s*{_W}\s*%>|\$\{{\s*{_W}\s*\}}|\[\[\s*{_W}\s*\]\]|<<\s*{_W}\s*>>|@@{_W}@@|\$\$\${_W.replace(' ', '')}"
+    "|".join((
+        _between(r"\{\{", r"\}\}"), _between(r"\{%", r"%\}"), _between("<%=?", "%>"), _between(r"\$\{", r"\}"),
+        _between(r"\[\[", r"\]\]", _LINE), _between("<<", ">>", _LINE), _between("@@", "@@", _LINE),
+    ))
+    + r"|\$\$\$\w[\w.|\-]*"
     rf"|%\(\w+\)s|(?<!\w)__[A-Za-z]\w*?__(?!\w)|(?<!\w)XX_\w+?_XX(?!\w)|(?<![\w%])%[A-Za-z][A-Za-z_]+%(?!\w)"
-    rf"|\[\s*(?:insert|doplňte|doplnte|doplnit|enter|add|einfügen|insérer)\s[^\[\]\n]{{1,40}}\]|<[^<>\n]{{1,30}}\shere>|(?<!\w)[A-Z]{{3,}}_HERE(?!\w)",
+    rf"|\[\s*(?:insert|doplňte|doplnte|doplnit|enter|add|einfügen|insérer)\s[^\[\]\n]+\]|<[^<>\n]+\shere>|(?<!\w)[A-Z]{{3,}}_HERE(?!\w)",
     re.I,
 )
 _NAMES = "|".join(sorted((n.replace("_", r"[_\s]+") for n in SLOT_NAMES), key=len, reverse=True))

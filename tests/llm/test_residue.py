@@ -32,6 +32,12 @@ def test_short_notices_with_slips(spark):
     assert _run(spark, bad + usual) == [0, 1, 2]
 
 
+def test_slots_of_any_length_and_content(spark):
+    long = "name of the company that offers the vacancy in this paragraph"
+    bad = ["Join {{ company|default('') }} now.", f"Join {{{{ {long} }}}} now.", f"[insert {long}]", f"<{long} here>", "Hi ${user['name']}", "{% if a == \"b\" %}"]
+    assert _run(spark, [*bad, "{{ }}", "<< >>", "{{ open", "a }} b", "{{" * 20000]) == list(range(len(bad)))
+
+
 def test_repeats_and_empty(spark):
     assert _run(spark, ["TODO", "TODO"]) == [0, 1]
     assert _run(spark, []) == []
