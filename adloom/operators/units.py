@@ -6,9 +6,11 @@ own or else the source's default; the factor is then applied in decimals.
 
 Defined results: null, blank and texts without an amount give no row, nor do
 texts whose only number is no pay ("bonus až 15 %", "5 týdnů dovolené", "salary
-+ 401k"); an open end is -1; a scale word after the second amount of a range
-holds for the first too; repeated rows give one row each; where neither text
-nor source names currency or period the row is left out, as nothing is stated.
++ 401k"); extras beside a stated pay are taken out, not the row; an open end is
+-1; a scale word after the second amount of a range holds for the first too;
+repeated rows give one row each. Pay that cannot be converted (a currency
+without a rate, no currency or period in text or source) is no row of
+``monthly_pay`` but one of ``unconverted``, with the reason.
 """
 
 from __future__ import annotations
@@ -38,7 +40,16 @@ SCALES = {
 }
 OPEN_TOP = r"od|from|min\.?|minimálně|at least|nejméně|alespoň|více než|over|ab|starting at"
 OPEN_BOTTOM = r"do|up to|max\.?|maximálně|až|nejvýše|at most|bis|až do"
-NO_PAY = r"%|1[34]\. ?plat|třída|dovolen|401\s?\(?k|bonus|benefit|stravenk|odměn"
+#: codes and signs of currencies that have no alias above
+FOREIGN = (
+    "aed|aud|bgn|brl|cad|clp|cny|cop|dkk|egp|gel|hkd|hrk|huf|idr|ils|inr|isk|jpy|krw|kzt|mdl|mxn|myr|nok|nzd|pen|php|pkr|qar|ron|rsd|rub|sar|sek|sgd|thb"
+    "|try|twd|uah|vnd|zar|kr|ft|lei|rmb|¥|₹|₽|₴|₩|₺|₪"
+)
+#: extras that bear numbers of their own: taken out before amounts are read
+LEAVE = r"\d+\s*(?:týdn\p{L}*|dn[íyů]|weeks?|days?)\s+(?:dovolen\p{L}*|of\s+(?:leave|vacation|holidays?)|leave|vacation|holidays?)"
+SHARE = r"(?:(?:až|up to|do|cca|about|of)\s)?\d+(?:[.,]\d+)?(?:\s?[-–]\s?\d+(?:[.,]\d+)?)?\s?%"
+GRADE = r"1[34]\.\s?plat\p{L}*|(?:platov\p{L}*|tarifn\p{L}*)?\s?třída\s?\d*|401\s?\(?k\)?"
+EXTRA = r"(?:bonus|odměn|benefit|stravenk|příspěv|allowance|prémi)\p{L}*"
 
 BLANKS = r"(?U)\s+"
 AMOUNT = r"(\d{1,3}(?:[ .,'’]\d{3})+(?![\d])(?:[.,]\d{1,2}(?!\d))?|\d+(?:[.,]\d{1,2}(?!\d))?)"
@@ -64,14 +75,25 @@ def _number(text: Column) -> Column:
     return F.replace(plain, F.lit(","), F.lit(".")).try_cast("decimal(20,4)")
 
 
-def parse(text: Column) -> dict[str, Column]:
-    """Parts of a pay text: lo, hi, two scales, side, currency, period."""
+SCALE = rf"(?:\s?({_any(SCALES)})(?![\p{{L}}]))?"
+
+
+def tidy(text: Column) -> Column:
+    """A pay text in lower case without brackets, extras and their amounts."""
     t = F.lower(F.trim(F.regexp_replace(text, BLANKS, " ")))
     t = F.regexp_replace(t, r"\([^()]*\)", " ")
     t = F.regexp_replace(t, r"\s\+\s.*$", "")  # extras
     t = F.regexp_replace(t, r",-+", " ")
+    # an extra's own amount goes with it, up to the end of its clause
+    for gone in (LEAVE, SHARE, GRADE, rf"{EXTRA}[^\d;,]{{0,20}}{AMOUNT}[^;]*?(?=[,;]\s|$)", EXTRA):
+        t = F.regexp_replace(t, gone, " ")
+    return F.trim(F.regexp_replace(t, r"[\s,;]+$", ""))
+
+
+def parse(t: Column) -> dict[str, Column]:
+    """Parts of a tidy pay text: lo, hi, two scales, side, currency, period."""
     word = r"(?![\p{L}])"
-    scale = rf"(?:\s?({_any(SCALES)}){word})?"
+    scale = SCALE
     cur = rf"(?:{_any(CURRENCIES)})"
     one = rf"{AMOUNT}{scale}"
     pair = rf"{one}\s?(?:{cur}{word})?\s?(?:-|–|—|to|až|do|bis|and)\s?(?:{cur})?\s?{one}"
@@ -93,32 +115,47 @@ def parse(text: Column) -> dict[str, Column]:
         # a currency sign may touch the figures, a word may not go on
         "currency": F.regexp_extract(t, rf"(?<![\p{{L}}])({_any(CURRENCIES)}){word}|([€$£])", 0),
         "period": F.regexp_replace(F.regexp_extract(t, rf"((?:(?<![\p{{L}}])|(?=/))(?:{_any(PERIODS)})){word}", 1), r"/\s", "/"),
-        "stated": t.rlike(r"\d") & ~t.rlike(NO_PAY),
+        "foreign": t.rlike(rf"(?<![\p{{L}}])(?:{FOREIGN})\s?\d|\d{scale}\s?(?:{FOREIGN}){word}"),
+        "stated": t.rlike(r"\d"),
     }
 
 
-def monthly_pay(df: DataFrame, defaults: DataFrame, rates: DataFrame, units: DataFrame, text: str = "Salary", ident: str = "ID", row_id: str = "row_id") -> DataFrame:
-    """(row_id, low_czk, high_czk) of every row whose text states pay."""
+#: most rows of an alias, rate, unit or default table that is sent to every task
+SMALL = 100_000
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast a lookup table if its checked size allows; else leave the join
+    to the planner."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+
+
+def _converted(df: DataFrame, defaults: DataFrame, rates: DataFrame, units: DataFrame, text: str, ident: str, row_id: str) -> DataFrame:
+    """Every row that states an amount: its bounds in CZK a month, or the reason
+    why there are none."""
     spark = df.sparkSession
-    p = parse(F.col(f"`{text}`"))
-    parts = df.select(
-        F.col(f"`{row_id}`").alias("row_id"),
-        F.regexp_extract(F.col(f"`{ident}`"), r"^([A-Za-z]+)", 1).alias("prefix"),
-        F.explode(F.array(F.struct(*(c.alias(k) for k, c in p.items())))).alias("p"),
+    # exploded, so that the tidy text and its parts are computed once each
+    texts = df.where(F.col(f"`{text}`").rlike(r"\d")).select(
+        F.col(f"`{row_id}`").alias("row_id"), F.regexp_extract(F.col(f"`{ident}`"), r"^([A-Za-z]+)", 1).alias("prefix"), F.explode(F.array(tidy(F.col(f"`{text}`")))).alias("t")
+    )
+    parts = texts.select(
+        "row_id", "prefix", F.explode(F.array(F.struct(*(c.alias(k) for k, c in parse(F.col("t")).items())))).alias("p")
     ).select("row_id", "prefix", "p.*").where(F.col("stated") & (F.col("lo_text") != ""))
-    # alias, rate, unit and default tables have a fixed number of rows
+    # the alias lists are constants above
     alias = lambda table, key, name: F.broadcast(aliases(spark, table).select(F.col("alias").alias(key), F.col("unit").alias(name)))
-    d = F.broadcast(defaults.select(F.col("id_prefix").alias("prefix"), F.col("currency").alias("d_cur"), F.col("pay_unit").alias("d_unit")))
+    d = defaults.groupBy(F.col("id_prefix").alias("prefix")).agg(F.min("currency").alias("d_cur"), F.min("pay_unit").alias("d_unit"))
+    r = rates.groupBy(F.col("currency").alias("cur")).agg(F.min("czk").alias("czk"))
+    u = units.groupBy("unit").agg(F.min("month_num").alias("month_num"), F.min("month_den").alias("month_den"))
     joined = (
         parts.join(alias(CURRENCIES, "currency", "t_cur"), "currency", "left")
         .join(alias(PERIODS, "period", "t_unit"), "period", "left")
         .join(alias(SCALES, "lo_scale", "lo_x"), "lo_scale", "left")
         .join(alias(SCALES, "hi_scale", "hi_x"), "hi_scale", "left")
-        .join(d, "prefix", "left")
-        .withColumn("cur", F.coalesce("t_cur", "d_cur"))
+        .join(_small(d), "prefix", "left")
+        .withColumn("cur", F.coalesce("t_cur", F.when(~F.col("foreign"), F.col("d_cur"))))
         .withColumn("unit", F.coalesce("t_unit", "d_unit"))
-        .join(F.broadcast(rates.select(F.col("currency").alias("cur"), "czk")), "cur")
-        .join(F.broadcast(units.select("unit", "month_num", "month_den")), "unit")
+        .join(_small(r), "cur", "left")
+        .join(_small(u), "unit", "left")
     )
     lo, hi = _number(F.col("lo_text")), _number(F.col("hi_text"))
     lo_x, hi_x = F.col("lo_x").cast("decimal(8,0)"), F.col("hi_x").cast("decimal(8,0)")
@@ -129,8 +166,23 @@ def monthly_pay(df: DataFrame, defaults: DataFrame, rates: DataFrame, units: Dat
     ).cast("long")
     low = factor(lo, shared)
     high = F.when(F.col("hi_text") != "", factor(hi, hi_x)).otherwise(low)
+    reason = (
+        F.when(F.col("t_cur").isNull() & F.col("foreign"), "currency unknown").when(F.col("cur").isNull(), "no currency").when(F.col("czk").isNull(), "no rate")
+        .when(F.col("month_num").isNull() | F.col("month_den").isNull(), "no period")
+    )
     return joined.where(lo.isNotNull()).select(
         "row_id",
         F.when(F.col("side") == "max", F.lit(-1).cast("long")).otherwise(low).alias("low_czk"),
         F.when(F.col("side") == "min", F.lit(-1).cast("long")).otherwise(high).alias("high_czk"),
+        reason.alias("reason"),
     )
+
+
+def monthly_pay(df: DataFrame, defaults: DataFrame, rates: DataFrame, units: DataFrame, text: str = "Salary", ident: str = "ID", row_id: str = "row_id") -> DataFrame:
+    """(row_id, low_czk, high_czk) of every row whose text states pay."""
+    return _converted(df, defaults, rates, units, text, ident, row_id).where(F.col("reason").isNull()).drop("reason")
+
+
+def unconverted(df: DataFrame, defaults: DataFrame, rates: DataFrame, units: DataFrame, text: str = "Salary", ident: str = "ID", row_id: str = "row_id") -> DataFrame:
+    """(row_id, reason) of every row that states an amount which cannot be converted."""
+    return _converted(df, defaults, rates, units, text, ident, row_id).where(F.col("reason").isNotNull()).select("row_id", "reason")

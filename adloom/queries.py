@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adloom import oracles
 from adloom.operators import drift, packed, timestamps, units
 from adloom.session import table
 
@@ -45,9 +46,21 @@ def p4_unified_data_analytics(spark: SparkSession, d: str) -> DataFrame:
     return drift.unify(table(spark, d, "raw_records"), "data_analytics")
 
 
+def _pay_tables(spark: SparkSession, d: str) -> list[DataFrame]:
+    return [table(spark, d, name) for name in ("data_analytics", "board_defaults", "fx_rates", "pay_units")]
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return units.monthly_pay(table(spark, d, "data_analytics"), table(spark, d, "board_defaults"), table(spark, d, "fx_rates"), table(spark, d, "pay_units"))
+    return units.monthly_pay(*_pay_tables(spark, d))
+
+
+def p5_unconverted(spark: SparkSession, d: str) -> DataFrame:
+    """Stated amounts that cannot be converted, with the reason."""
+    return units.unconverted(*_pay_tables(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_formats, p3_found, p4_found, p4_unified_evaluation, p4_unified_indeed_basic, p4_unified_data_analytics, p5_found)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (p2_found, p2_formats, p3_found, p4_found, p4_unified_evaluation, p4_unified_indeed_basic, p4_unified_data_analytics, p5_found, p5_unconverted)
+}
+ORACLES = {"p5_found": oracles.pay()}

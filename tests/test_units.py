@@ -32,3 +32,24 @@ def test_pay(spark, small):
 def test_no_pay_and_unknown_source(spark, small):
     assert _run(spark, small, [("JB_1", v) for v in NONE] + [(None, "50 000"), ("ZZ_1", "50 000")]) == {}
     assert _run(spark, small, []) == {}
+
+
+EXTRAS = [
+    ("JB_1", "50 000 Kč měsíčně, bonus 10 %", 50000, 50000), ("JB_1", "50 000 Kč měsíčně, bonus 5 000 Kč ročně", 50000, 50000), ("JB_1", "bonus až 15 %, 40 000 - 45 000 Kč", 40000, 45000),
+    ("JB_1", "30 000 Kč, 5 týdnů dovolené, stravenky 100 Kč/den", 30000, 30000), ("JB_1", "35 000 Kč a 13. plat", 35000, 35000), ("JB_1", "tarifní třída 11, 38 000 Kč", 38000, 38000),
+    ("JB_1", "40 000 Kč měsíčně, odměny", 40000, 40000), ("BLT_1", "$60,000 a year, 401(k)", 112500, 112500),
+]
+
+
+def test_extras_are_taken_out_of_stated_pay(spark, small):
+    assert _run(spark, small, [(a, b) for a, b, *_ in EXTRAS]) == {i: (lo, hi) for i, (_, _, lo, hi) in enumerate(EXTRAS)}
+
+
+def test_unknown_currency_is_reported_not_guessed(spark, small):
+    rows = [("JB_1", "SEK 40000"), ("JB_1", "40 000 kr/month"), ("ZZ_1", "50 000"), ("JB_1", "50 000 PLN"), ("JB_1", "50 000")]
+    d, fx, u = small
+    less = (d, fx.where("currency <> 'PLN'"), u)
+    assert _run(spark, less, rows) == {4: (50000, 50000)}
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "row_id long, ID string, Salary string")
+    got = {r["row_id"]: r["reason"] for r in units.unconverted(df, *less).collect()}
+    assert got == {0: "currency unknown", 1: "currency unknown", 2: "no currency", 3: "no rate"}
