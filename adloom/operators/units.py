@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adloom.session import small
+
 # Spellings of currencies, periods and scales.
 CURRENCIES = {
     "CZK": ["kč", "kc", "czk", "korun", "koruny", "koruna", "kčs"],
@@ -120,16 +122,6 @@ def parse(t: Column) -> dict[str, Column]:
     }
 
 
-#: most rows of an alias, rate, unit or default table that is sent to every task
-SMALL = 100_000
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a lookup table if its checked size allows; else leave the join
-    to the planner."""
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
-
-
 def _converted(df: DataFrame, defaults: DataFrame, rates: DataFrame, units: DataFrame, text: str, ident: str, row_id: str) -> DataFrame:
     """Every row that states an amount: its bounds in CZK a month, or the reason
     why there are none."""
@@ -151,11 +143,11 @@ def _converted(df: DataFrame, defaults: DataFrame, rates: DataFrame, units: Data
         .join(alias(PERIODS, "period", "t_unit"), "period", "left")
         .join(alias(SCALES, "lo_scale", "lo_x"), "lo_scale", "left")
         .join(alias(SCALES, "hi_scale", "hi_x"), "hi_scale", "left")
-        .join(_small(d), "prefix", "left")
+        .join(small(d), "prefix", "left")
         .withColumn("cur", F.coalesce("t_cur", F.when(~F.col("foreign"), F.col("d_cur"))))
         .withColumn("unit", F.coalesce("t_unit", "d_unit"))
-        .join(_small(r), "cur", "left")
-        .join(_small(u), "unit", "left")
+        .join(small(r), "cur", "left")
+        .join(small(u), "unit", "left")
     )
     lo, hi = _number(F.col("lo_text")), _number(F.col("hi_text"))
     lo_x, hi_x = F.col("lo_x").cast("decimal(8,0)"), F.col("hi_x").cast("decimal(8,0)")

@@ -52,3 +52,39 @@ FROM r LEFT JOIN board_defaults d ON d.id_prefix = prefix WHERE lo IS NOT NULL),
 m AS (SELECT row_id, side, {value("lo", "CASE WHEN lx IS NULL AND CAST(lo AS DOUBLE) <= CAST(hi AS DOUBLE) THEN hx ELSE lx END")} AS low, {value("hi", "hx")} AS high
 FROM u JOIN fx_rates f ON f.currency = cur JOIN pay_units y ON y.unit = u.unit)
 SELECT row_id, CAST(CASE WHEN side = 'max' THEN -1 ELSE low END AS BIGINT) AS low_czk, CAST(CASE WHEN side = 'min' THEN -1 ELSE coalesce(high, low) END AS BIGINT) AS high_czk FROM m"""
+
+
+def instants() -> str:
+    """p2_found: each shape of a value has a row of its own in a union; a wall
+    time that occurs twice is moved to the first by a look one hour back."""
+    from adloom.operators import timestamps as ts
+
+    months = ", ".join(f"({quote(n)}, {k})" for k, names in ts.MONTHS.items() for n in names.split())
+    zones = ", ".join(f"({quote(z)}, {s})" for z, s in ts.ABBREVIATIONS.items())
+    cells = " UNION ALL ".join(f"SELECT row_id, \"Source\" AS source, '{f}' AS field, \"{f}\" AS raw FROM prospects_enriched_raw" for f in ("Mining_Date", "Published_At", "Valid_Through"))
+    clock, zone = r"([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]+))?)? ?", r"(z|[a-z]{3,4}|[+-][0-9]{2}:?[0-9]{2}|\[[a-z_]+/[a-z_/]+\])?"
+    shapes = [  # pattern, groups of y m d h mi s f, half day, zone
+        (rf"^([0-9]{{4}})-([0-9]{{2}})-([0-9]{{2}})(?:[t ]{clock}{zone})?$", (1, 2, 3, 4, 5, 6, 7, 0, 8), ""),
+        (rf"^([0-9]{{4}})([0-9]{{2}})([0-9]{{2}})(?:t([0-9]{{2}})([0-9]{{2}})([0-9]{{2}}){zone})?$", (1, 2, 3, 4, 5, 6, 0, 0, 7), ""),
+        (r"^([0-9]{1,2})\. ?([0-9]{1,2})\. ?([0-9]{4})(?:,? (?:v )?([0-9]{1,2})[:.]([0-9]{2})(?: hod\.)?)?$", (3, 2, 1, 4, 5, 0, 0, 0, 0), ""),
+        (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})(?: ([0-9]{1,2}):([0-9]{2}))?$", (3, 2, 1, 4, 5, 0, 0, 0, 0), "AND date_order = 'day_first'"),
+        (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})(?: ([0-9]{1,2}):([0-9]{2}))?$", (3, 1, 2, 4, 5, 0, 0, 0, 0), "AND date_order = 'month_first'"),
+        (rf"^(?:\p{{L}}{{3}}, )?([0-9]{{1,2}})\.? (\p{{L}}+) ([0-9]{{4}})(?: {clock}{zone})?$", (3, 2, 1, 4, 5, 6, 7, 0, 8), ""),
+        (rf"^(\p{{L}}+) ([0-9]{{1,2}}), ([0-9]{{4}})(?: {clock}(am|pm)?)?$", (3, 1, 2, 4, 5, 6, 7, 8, 0), ""),
+    ]
+    part = lambda pattern, k: f"regexp_extract(v, {quote(pattern)}, {k})" if k else "''"
+    names = ("y", "mo", "da", "h", "mi", "se", "fr", "half", "z")
+    read = " UNION ALL ".join(
+        f"SELECT row_id, field, zone, {', '.join(f'{part(p, g)} AS {n}' for n, g in zip(names, groups))} FROM c WHERE regexp_matches(v, {quote(p)}) {more}" for p, groups, more in shapes
+    )
+    epochs = " UNION ALL ".join(f"SELECT row_id, field, try_cast(v AS BIGINT) * {m} AS utc_us FROM c WHERE regexp_matches(v, '^[0-9]{{{n}}}$')" for n, m in ((10, 1_000_000), (13, 1_000), (16, 1)))
+    return rf"""WITH months(name, number) AS (VALUES {months}), abbr(name, ahead) AS (VALUES {zones}),
+c AS (SELECT row_id, field, coalesce(zone, 'UTC') AS zone, date_order, lower(trim(regexp_replace(raw, '[\s\p{{Z}}]+', ' ', 'g'))) AS v FROM ({cells}) x LEFT JOIN board_defaults b USING (source) WHERE raw IS NOT NULL),
+r AS ({read}),
+n AS (SELECT row_id, field, zone, z, try_cast(rpad(left(fr, 6), 6, '0') AS BIGINT) AS us, y || '-' || lpad(CAST(coalesce(try_cast(mo AS INTEGER), number) AS VARCHAR), 2, '0') || '-' || lpad(da, 2, '0') AS day,
+CASE half WHEN 'pm' THEN try_cast(h AS INTEGER) % 12 + 12 WHEN 'am' THEN try_cast(h AS INTEGER) % 12 ELSE coalesce(try_cast(h AS INTEGER), 0) END AS hour, mi, se FROM r LEFT JOIN months m ON m.name = mo),
+t AS (SELECT row_id, field, zone, z, us, try_cast(day || ' ' || lpad(CAST(hour AS VARCHAR), 2, '0') || ':' || lpad(CASE mi WHEN '' THEN '00' ELSE mi END, 2, '0') || ':' || lpad(CASE se WHEN '' THEN '00' ELSE se END, 2, '0') AS TIMESTAMP) AS wall FROM n),
+w AS (SELECT *, CASE WHEN z LIKE '[%' THEN (SELECT any_value(p.name) FROM pg_timezone_names() p WHERE lower(p.name) = z[2:-2]) ELSE zone END AS place, regexp_extract(z, '([+-])', 1) AS sign, regexp_extract(z, '([0-9]{{2}})', 1) AS oh, regexp_extract(z, '([0-9]{{2}})$', 1) AS om FROM t WHERE wall IS NOT NULL),
+u AS (SELECT row_id, field, us, CASE WHEN z = '' OR z LIKE '[%' THEN CASE WHEN timezone(place, timezone(place, wall) - INTERVAL 1 HOUR) = wall THEN timezone(place, wall) - INTERVAL 1 HOUR ELSE timezone(place, wall) END END AS local,
+CASE WHEN sign <> '' THEN (try_cast(oh AS BIGINT) * 3600 + try_cast(om AS BIGINT) * 60) * CASE sign WHEN '-' THEN -1 ELSE 1 END ELSE a.ahead END AS ahead, wall FROM w LEFT JOIN abbr a ON a.name = z)
+SELECT row_id, field, utc_us FROM (SELECT row_id, field, coalesce(epoch_us(local), epoch_us(wall) - ahead * 1000000) + coalesce(us, 0) AS utc_us FROM u UNION ALL {epochs}) WHERE utc_us IS NOT NULL"""

@@ -22,6 +22,13 @@ def p2_formats(spark: SparkSession, d: str) -> DataFrame:
     return timestamps.normalise(table(spark, d, "prospects_enriched_raw"), table(spark, d, "board_defaults"), TIME_FIELDS)
 
 
+def p2_undeclared(spark: SparkSession, d: str) -> DataFrame:
+    """The same with no date order declared: slashed dates are read by the order
+    of the records alone."""
+    undeclared = table(spark, d, "board_defaults").withColumn("date_order", F.lit(None).cast("string"))
+    return timestamps.normalise(table(spark, d, "prospects_enriched_raw"), undeclared, TIME_FIELDS)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     out = None
     for name, fields in PACKED_FIELDS.items():
@@ -61,6 +68,6 @@ def p5_unconverted(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p2_formats, p3_found, p4_found, p4_unified_evaluation, p4_unified_indeed_basic, p4_unified_data_analytics, p5_found, p5_unconverted)
+    for f in (p2_found, p2_formats, p2_undeclared, p3_found, p4_found, p4_unified_evaluation, p4_unified_indeed_basic, p4_unified_data_analytics, p5_found, p5_unconverted)
 }
-ORACLES = {"p5_found": oracles.pay()}
+ORACLES = {"p2_found": oracles.instants(), "p5_found": oracles.pay()}

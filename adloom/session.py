@@ -60,6 +60,16 @@ def spread(df: DataFrame, key: str, per_core: int = 3) -> DataFrame:
     return df.repartition(per_core * cores, F.col(f"`{key}`"))
 
 
+#: most rows of a table that is sent whole to every task
+SMALL = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast a lookup table if its checked size allows; else leave the join
+    to the planner."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+
+
 def quoted(name: str) -> str:
     """A column name as one identifier, dots and blanks included."""
     return f"`{name}`"

@@ -80,3 +80,38 @@ def test_unknown_order_follows_the_sequence(spark):
     rows = [("?", "13/01/2025"), ("?", "02/02/2025"), ("?", "03/02/2025"), ("?", "14/02/2025")]
     got = _run(spark, rows)
     assert got[2] == _us(2025, 2, 3)
+
+
+def test_zones_offsets_and_further_forms(spark):
+    cases = [
+        ("jb", "2025-03-01T10:00:00[America/Sao_Paulo]", _us(2025, 3, 1, 13)), ("jb", "2025-03-01T10:00:00[Etc/UTC]", _us(2025, 3, 1, 10)), ("jb", "2025-03-01T10:00:00[etc/gmt+3]", _us(2025, 3, 1, 13)),
+        ("jb", "2025-03-01T10:00:00-03:00[America/Sao_Paulo]", _us(2025, 3, 1, 13)), ("jb", "2025-03-01T10:00:00+01", _us(2025, 3, 1, 9)), ("jb", "2025-03-01 10:00 UTC+2", _us(2025, 3, 1, 8)),
+        ("jb", "20250301100000", _us(2025, 3, 1, 9)), ("jb", "20250301T100000.25Z", _us(2025, 3, 1, 10, 0, 0, 250000)), ("jb", "2025-W10-3", _us(2025, 3, 4, 23)), ("jb", "2020-W53-5T12:00Z", _us(2021, 1, 1, 12)),
+        ("jb", "2024-366", _us(2024, 12, 30, 23)),
+    ]
+    assert _run(spark, [(s, v) for s, v, _ in cases]) == {i: u for i, (_, _, u) in enumerate(cases)}
+    assert _run(spark, [("jb", v) for v in ("2025-03-01T10:00:00[Mars/Base]", "2025-W53-1", "2025-W00-1", "2025-366", "2025-W10-8", "20250301250000")]) == {}
+
+
+def test_unknown_zone_of_a_source_is_utc(spark):
+    df = spark.createDataFrame([(1, "x", "2025-03-01 10:00", "c")], SCHEMA)
+    d = spark.createDataFrame([("x", "No/Where", None)], "source string, zone string, date_order string")
+    assert [r["utc_us"] for r in ts.normalise(df, d, ["A"]).collect()] == [_us(2025, 3, 1, 10)]
+
+
+def test_tree_of_blocks_equals_one_pass(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [("?", f"{rng.randint(1, 12):02d}/{rng.randint(1, 14):02d}/2025") for _ in range(60)]
+    whole = _run(spark, rows)
+    df = spark.createDataFrame([(i * 10**15, s, v, "x") for i, (s, v) in enumerate(rows)], SCHEMA)  # sparse ids
+    d = spark.createDataFrame(DEFAULTS, "source string, zone string, date_order string")
+    got = {r["row_id"] // 10**15: r["utc_us"] for r in ts.normalise(df, d, ["A"], block=4, fan=3).collect()}
+    assert set(got) == set(whole)
+    reads = [[("d", whole_us, 0.0) for whole_us in sorted({_us(2025, int(b), int(a)) if int(b) <= 12 else None, _us(2025, int(a), int(b)) if int(a) <= 12 else None} - {None})] for a, b, _ in (v.split("/") for _, v in rows)]
+    assert all(got[i] in [c[1] for c in reads[i]] for i in got)
+    back = lambda x: sum(x[i] < x[i - 1] for i in range(1, len(rows)))
+    day = lambda x: [_us(2025, int(b), int(a)) == x[i] if int(b) <= 12 else False for i, (a, b, _) in enumerate(v.split("/") for _, v in rows)]
+    switches = lambda x: sum(p != q for p, q in zip(day(x), day(x)[1:]))
+    assert back(got) + switches(got) == back(whole) + switches(whole)
