@@ -15,43 +15,52 @@ are trimmed and unquoted; repeated rows count; ties are parted at the slash.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adloom.session import cut
+from adloom.session import cut, small
 
 #: rounds of expectation-maximisation; the split decisions settle after two
 ROUNDS = 4
 #: prior rate at which a slash parts values, by the blanks around it
 PRIOR = {"spaced": 0.9, "half": 0.8, "tight": 0.2}
 PRIOR_WEIGHT = 4.0
+#: atoms up to which every part of a run may be a value; a longer value is known
+#: by a cell that it fills alone, so none is lost and long runs stay linear
+LONG = 64
 
-PIECE = r'(?:"(?:[^"]++|"")*+"|[^",;|•·\t\n\r ]++|")++'
-ATOM = r'(?:"(?:[^"]++|"")*+"|[^"/]++|")++'
-QUOTED = r'^"((?:[^"]|"")*)"$'
+PIECE = r'(?:"(?:[^"]++|"")*+"|[^",;|•·\t\n\r ]++|")++'
+QUOTES = r'"(?:[^"]|"")*"'
+#: characters of white space, trimmed without a pattern
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
-def _clean(x: Column) -> Column:
-    """Trimmed and unquoted."""
-    t = F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
-    inner = F.replace(F.regexp_extract(t, r'(?s)^"(.*)"$', 1), F.lit('""'), F.lit('"'))
-    return F.when((F.length(t) > 1) & t.startswith('"') & t.endswith('"'), F.regexp_replace(inner, r"(?U)^\s+|\s+$", "")).otherwise(t)
+def _trim(x: Column) -> Column:
+    return F.btrim(x, F.lit(BLANKS))
+
+
+def _clean(t: Column) -> Column:
+    """A trimmed piece unquoted."""
+    inner = _trim(F.replace(F.substring(t, F.lit(2), F.length(t) - 2), F.lit('""'), F.lit('"')))
+    return F.when(t.startswith('"') & t.endswith('"') & (F.length(t) > 1), inner).otherwise(t)
 
 
 def _json_items(cell: Column) -> Column:
-    return F.when(cell.rlike(r"(?s)^\s*\[.*\]\s*$"), F.from_json(cell, "array<string>"))
+    """Items of a cell that is a JSON array, else null."""
+    return F.when(F.ltrim(cell).startswith("["), F.when(cell.rlike(r"(?s)^\s*\[.*\]\s*$"), F.filter(F.transform(F.from_json(cell, "array<string>"), _trim), lambda v: v != "")))
 
 
 def _pieces(cell: Column) -> Column:
     found = F.regexp_extract_all(cell, F.lit(PIECE), F.lit(0))
-    return F.filter(F.transform(found, lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", "")), lambda p: p != "")
+    return F.filter(F.transform(found, _trim), lambda p: p != "")
 
 
-def _slashed(piece: Column) -> Column:
+def _slashed(text: Column) -> Column:
     """Whether a slash stands outside quotes."""
-    return F.regexp_replace(piece, r'"(?:[^"]|"")*"', "").contains("/")
+    return text.contains("/") & (~text.contains('"') | F.regexp_replace(text, QUOTES, "").contains("/"))
 
 
 def lattice(run: str) -> tuple[list[str], list[str]]:
@@ -86,20 +95,33 @@ def _quoted(atom: str) -> bool:
     return len(a) > 1 and a[0] == a[-1] == '"'
 
 
-def candidates(run: str) -> list[tuple[int, int, str]]:
-    """All values a run may hold: (first atom, last atom, value)."""
+def candidates(run: str, known: Iterable[str] = ()) -> list[tuple[int, int, str]]:
+    """All values a run may hold: (first atom, last atom, value). Values of more
+    than ``LONG`` atoms are the run itself and those of ``known`` that it holds."""
     atoms, styles = _spans(run)
     whole = [_quoted(a) for a in atoms]
-    out = []
-    for i in range(len(atoms)):
-        for j in range(i, len(atoms)):
+    out, n = [], len(atoms)
+    for i in range(n):
+        for j in range(i, min(n, i + LONG)):
             if j > i and (whole[i] or whole[j]):
                 break  # a quoted span is a value of its own
             value = "/".join(atoms[i : j + 1]).strip()
             out.append((i, j, value))
+    if n > LONG:
+        for value in {run.strip(), *known}:
+            m = value.count("/") + 1
+            if m > LONG:
+                out += [(i, i + m - 1, value) for i in range(n - m + 1) if not any(whole[i : i + m]) and "/".join(atoms[i : i + m]).strip() == value]
     return out
 
 
+def long_keys(run: str) -> tuple[str, list[str]]:
+    """The start of a long run, and all places of it where a long value may start."""
+    atoms = lattice(run)[0]
+    start = lambda i: "/".join(atoms[i : i + LONG + 1]).strip()
+    return start(0), sorted({start(i) for i in range(1, len(atoms) - LONG)})
+
+
 def _log(x: float) -> float:
     return math.log(max(x, 1e-300))
 
@@ -119,21 +141,18 @@ def _log_sum(xs: list[float]) -> float:
 def best_split(run: str, p: dict[str, float], rate: dict[str, float]) -> list[str]:
     """Viterbi over the lattice of a run."""
     atoms, styles = _spans(run)
-    whole = [_quoted(a) for a in atoms]
     n = len(atoms)
+    kept = [0.0]  # log chance that the first k slashes part nothing
+    for m in styles:
+        kept.append(kept[-1] + _log(1 - rate[m]))
+    into: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+    for i, j, value in candidates(run, p):
+        into[j].append((i, _log_use(value, p, n) + kept[j] - kept[i] + (_log(rate[styles[i - 1]]) if i else 0.0)))
     best: list[tuple[float, int]] = [(0.0, 0)] + [(-math.inf, 0)] * n
     for j in range(n):
-        kept = 0.0  # of the slashes inside the value
-        for i in range(j, -1, -1):
-            if i < j:
-                if whole[i] or whole[j]:
-                    break
-                kept += _log(1 - rate[styles[i]])
-            value = "/".join(atoms[i : j + 1]).strip()
-            score = best[i][0] + _log_use(value, p, n)
-            score += kept + (_log(rate[styles[i - 1]]) if i else 0.0)
-            if score > best[j + 1][0] + 1e-12:
-                best[j + 1] = (score, i)
+        for i, x in sorted(into[j], reverse=True):  # of equals the one parted last
+            if best[i][0] + x > best[j + 1][0] + 1e-12:
+                best[j + 1] = (best[i][0] + x, i)
     out, j = [], n
     while j:
         i = best[j][1]
@@ -154,7 +173,7 @@ def expected(run: str, weight: float, p: dict[str, float], rate: dict[str, float
         kept.append(kept[-1] + _log(1 - rate[m]))
     starts: list[list[tuple[int, float]]] = [[] for _ in range(n)]  # by last atom
     ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]  # by first atom
-    for i, j, value in candidates(run):
+    for i, j, value in candidates(run, p):
         x = _log_use(value, p, n) + kept[j] - kept[i] + (_log(rate[styles[i - 1]]) if i else 0.0)
         starts[j].append((i, x))
         ends[i].append((j, x))
@@ -188,41 +207,38 @@ def _expect(pdf: pd.DataFrame, rate: dict[str, dict[str, float]]):
 
 
 def explode_packed(df: DataFrame, fields: list[str], row_id: str = "row_id", rounds: int = ROUNDS) -> DataFrame:
-    """(row_id, field, position, value) of every cell with two or more values."""
+    """(row_id, field, position, value) of every cell with two or more values.
+
+    The table is read twice: once to count values and runs, in maps that meet
+    before the shuffle, and once to split. Cells without a lattice node that is
+    open are split in place; the distinct others are decided once and joined.
+    """
     cells = df.select(
         F.col(f"`{row_id}`").alias("row_id"),
         F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").cast("string").alias("cell")) for f in fields))).alias("c"),
-    ).select("row_id", "c.field", "c.cell").where(F.col("cell").rlike(r"(?U)\S"))
-    # distinct cells with their counts: partial aggregation absorbs hot cells
-    counts = cells.groupBy("field", "cell").agg(F.count("*").alias("n"))
-    parts = counts.select("field", "cell", "n", F.coalesce(_json_items(F.col("cell")), F.lit(None).cast("array<string>")).alias("items"), _pieces(F.col("cell")).alias("pieces"))
-    single = parts.where(F.col("items").isNull()).select("field", "n", F.explode("pieces").alias("piece"))
-    runs = cut(single.where(_slashed(F.col("piece"))).groupBy("field", F.col("piece").alias("run")).agg(F.sum("n").alias("n")))
-    # values that stand alone are certain uses
-    sure = cut(
-        single.where(~_slashed(F.col("piece"))).select("field", "n", _clean(F.col("piece")).alias("value"))
-        .unionByName(parts.select("field", "n", F.explode("items").alias("value")))
-        .where(F.col("value") != "")
-        .groupBy("field", "value")
-        .agg(F.sum("n").cast("double").alias("x"))
+    ).select("row_id", "c.field", "c.cell").where(F.length(_trim(F.col("c.cell"))) > 0)
+    run_of = lambda p: F.struct(_slashed(p).alias("run"), F.when(_slashed(p), p).otherwise(_clean(p)).alias("text"))
+    sure_of = lambda v: F.struct(F.lit(False).alias("run"), v.alias("text"))
+    items = _json_items(F.col("cell"))
+    parts = F.coalesce(F.transform(items, sure_of), F.transform(_pieces(F.col("cell")), run_of))
+    seen = cut(
+        cells.select("field", F.explode(parts).alias("p")).select("field", "p.run", "p.text").where("text <> ''").groupBy("field", "run", "text").agg(F.count(F.lit(1)).alias("n"))
     )
-    decided = _learn(runs, sure, fields, rounds)
-    # back to the distinct cells, then to the rows
-    in_cell = parts.where(F.col("items").isNull()).select("field", "cell", F.posexplode("pieces").alias("k", "piece"))
-    hit = (
-        in_cell.where(_slashed(F.col("piece")))
-        .join(decided.select("field", F.col("run").alias("piece"), "split"), ["field", "piece"])
+    # values that stand alone are certain uses
+    sure = seen.where("not run").select("field", F.col("text").alias("value"), F.col("n").cast("double").alias("x"))
+    decided = _learn(seen.where("run").select("field", F.col("text").alias("run"), "n"), sure, fields, rounds)
+    open_ = _slashed(F.col("cell")) & items.isNull()
+    # the distinct open cells: their runs are looked up, the rest is sure
+    looked = (
+        cells.where(open_).select("field", "cell").distinct().select("field", "cell", F.posexplode(_pieces(F.col("cell"))).alias("k", "run"))
+        .join(small(decided), ["field", "run"], "left")
         .groupBy("field", "cell")
-        .agg(F.map_from_entries(F.collect_set(F.struct("piece", "split"))).alias("splits"))
-    )
-    values = lambda pieces, splits: F.flatten(
-        F.transform(pieces, lambda p: F.coalesce(F.try_element_at(splits, p), F.array(_clean(p))) if splits is not None else F.array(_clean(p)))
+        .agg(F.array_sort(F.collect_list(F.struct("k", F.coalesce("split", F.array(_clean(F.col("run")))).alias("vs")))).alias("runs"))
+        .select("field", "cell", F.flatten(F.transform("runs", lambda r: r["vs"])).alias("vs"))
     )
-    slashed = F.exists(_pieces(F.col("cell")), _slashed) & _json_items(F.col("cell")).isNull()
-    plain = cells.where(~slashed).select("row_id", "field", F.coalesce(_json_items(F.col("cell")), values(_pieces(F.col("cell")), None)).alias("vs"))
-    mixed = cells.where(slashed).join(hit, ["field", "cell"]).select("row_id", "field", values(_pieces(F.col("cell")), F.col("splits")).alias("vs"))
-    trim = lambda v: F.regexp_replace(v, r"(?U)^\s+|\s+$", "")
-    out = plain.unionByName(mixed).select("row_id", "field", F.filter(F.transform("vs", trim), lambda v: v != "").alias("vs"))
+    plain = cells.where(~open_).select("row_id", "field", F.coalesce(items, F.transform(_pieces(F.col("cell")), _clean)).alias("vs"))
+    mixed = cells.where(open_).join(looked, ["field", "cell"]).select("row_id", "field", "vs")
+    out = plain.unionByName(mixed).select("row_id", "field", F.filter("vs", lambda v: v != "").alias("vs"))
     return (
         out.where(F.size("vs") > 1)
         .select("row_id", "field", F.posexplode("vs").alias("k", "value"))
@@ -232,16 +248,33 @@ def explode_packed(df: DataFrame, fields: list[str], row_id: str = "row_id", rou
 
 def _learn(runs: DataFrame, sure: DataFrame, fields: list[str], rounds: int) -> DataFrame:
     """(field, run, split) after expectation-maximisation over all runs."""
-    spans = F.udf(lambda run: sorted({v for _, _, v in candidates(run) if v}), "array<string>")
-    spread = runs.select("field", "run", "n", spans("run").alias("vals"))
-    cand = cut(spread.select("field", "run", "n", F.explode("vals").alias("value")))
+
+    def spans(batches):
+        for pdf in batches:
+            rows = [(f, run, n, v) for f, run, n in zip(pdf["field"], pdf["run"], pdf["n"]) for v in sorted({v for _, _, v in candidates(run) if v})]
+            yield pd.DataFrame(rows, columns=["field", "run", "n", "value"])
+
+    def keys(batches):
+        for pdf in batches:
+            rows = [(f, run, n, *long_keys(run)) for f, run, n in zip(pdf["field"], pdf["run"], pdf["n"])]
+            yield pd.DataFrame(rows, columns=["field", "run", "n", "head", "starts"])
+
+    # a long value inside a longer run is known by a cell that it fills alone
+    long_ = runs.where(F.length("run") - F.length(F.replace("run", F.lit("/"), F.lit(""))) >= LONG).mapInPandas(keys, "field string, run string, n bigint, head string, starts array<string>")
+    inner = long_.select("field", "run", "n", F.explode("starts").alias("head"))
+    inner = inner.join(long_.select("field", "head", F.trim("run").alias("value")), ["field", "head"]).where(F.contains("run", "value")).select("field", "run", "n", "value")
+    cand = cut(runs.mapInPandas(spans, "field string, run string, n bigint, value string").unionByName(inner.distinct()))
+    # of the sure values only those that a run may hold are looked up again
+    total = {r["field"]: r["x"] for r in sure.groupBy("field").agg(F.sum("x").alias("x")).collect()}  # one number a field
+    sure = cut(sure.join(cand.select("field", "value").distinct(), ["field", "value"], "left_semi"))
     # the styles' rates are three numbers a field
     rate = {f: dict(PRIOR) for f in fields}
     uses = cand.groupBy("field", "value").agg((F.sum("n") * F.lit(0.5)).alias("x"))
     for _ in range(rounds):
-        both = uses.unionByName(sure).groupBy("field", "value").agg(F.sum("x").alias("x"))
-        total = both.groupBy("field").agg(F.sum("x").alias("total"))
-        p = both.join(F.broadcast(total), "field").select("field", "value", (F.col("x") / F.col("total")).alias("p"))
+        # sure values outside the runs count in the total alone
+        mass = {r["field"]: r["x"] + total.get(r["field"], 0.0) for r in uses.groupBy("field").agg(F.sum("x").alias("x")).collect()}
+        whole = F.coalesce(*(F.when(F.col("field") == f, F.lit(float(x))) for f, x in mass.items()), F.lit(1.0))
+        p = uses.unionByName(sure).groupBy("field", "value").agg(F.sum("x").alias("x")).select("field", "value", (F.col("x") / whole).alias("p"))
         given = cand.join(p, ["field", "value"]).groupBy("field", "run").agg(F.first("n").alias("n"), F.collect_list("value").alias("vals"), F.collect_list("p").alias("probs"))
         fixed = {f: dict(r) for f, r in rate.items()}
 
@@ -261,7 +294,7 @@ def _learn(runs: DataFrame, sure: DataFrame, fields: list[str], rounds: int) ->
             splits = [[_unquote(v) for v in best_split(run, dict(zip(vals, probs)), last[field])] for field, run, vals, probs in zip(pdf["field"], pdf["run"], pdf["vals"], pdf["probs"])]
             yield pd.DataFrame({"field": pdf["field"], "run": pdf["run"], "split": splits})
 
-    return given.mapInPandas(decide, "field string, run string, split array<string>")
+    return cut(given.mapInPandas(decide, "field string, run string, split array<string>"))
 
 
 def _unquote(v: str) -> str:

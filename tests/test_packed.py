@@ -70,3 +70,13 @@ def test_value_of_many_slashes(spark):
 def test_long_run_keeps_its_weight():
     uses, marks = packed.expected("/".join("a" * 150), 2.0, {"a": 1e-3}, dict(packed.PRIOR))
     assert abs(uses["a"] - 300) < 1e-6 and abs(marks["tight"][0] - 298) < 1e-6 and marks["tight"][1] == 298
+
+
+def test_very_long_runs(spark):
+    path = "/".join(f"p{k}" for k in range(500))
+    many = " / ".join("Go" if k % 2 else "Excel" for k in range(1500))
+    df = spark.createDataFrame(list(enumerate([path] * 5 + [f"Go, {path}", f"{path} / Go", many] + ["Go", "Excel"] * 50)), "row_id long, f string")
+    got = {}
+    for r in packed.explode_packed(df, ["f"]).orderBy("row_id", "position").collect():
+        got.setdefault(r["row_id"], []).append(r["value"])
+    assert got[5] == ["Go", path] and got[6] == [path, "Go"] and len(got[7]) == 1500 and set(got) == {5, 6, 7}
