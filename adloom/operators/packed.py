@@ -32,7 +32,7 @@ PRIOR_WEIGHT = 4.0
 #: by a cell that it fills alone, so none is lost and long runs stay linear
 LONG = 64
 
-PIECE = r'(?:"(?:[^"]++|"")*+"|[^",;|•·\t\n\r ]++|")++'
+PIECE = r'(?:"(?:[^"]++|"")*+"|[^",;|•·\t\n\r\u2028]++|")++'
 QUOTES = r'"(?:[^"]|"")*"'
 #: characters of white space, trimmed without a pattern
 BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"

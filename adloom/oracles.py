@@ -88,3 +88,48 @@ w AS (SELECT *, CASE WHEN z LIKE '[%' THEN (SELECT any_value(p.name) FROM pg_tim
 u AS (SELECT row_id, field, us, CASE WHEN z = '' OR z LIKE '[%' THEN CASE WHEN timezone(place, timezone(place, wall) - INTERVAL 1 HOUR) = wall THEN timezone(place, wall) - INTERVAL 1 HOUR ELSE timezone(place, wall) END END AS local,
 CASE WHEN sign <> '' THEN (try_cast(oh AS BIGINT) * 3600 + try_cast(om AS BIGINT) * 60) * CASE sign WHEN '-' THEN -1 ELSE 1 END ELSE a.ahead END AS ahead, wall FROM w LEFT JOIN abbr a ON a.name = z)
 SELECT row_id, field, utc_us FROM (SELECT row_id, field, coalesce(epoch_us(local), epoch_us(wall) - ahead * 1000000) + coalesce(us, 0) AS utc_us FROM u UNION ALL {epochs}) WHERE utc_us IS NOT NULL"""
+
+
+def header_changes() -> str:
+    """p4_found by brute force: every line of a file is laid beside every line
+    of the file before, and goes with the one that shares most of its values."""
+    return r"""WITH f AS (SELECT file_id, lag(file_id) OVER (PARTITION BY feed ORDER BY min(written_at), file_id) AS prev FROM raw_records GROUP BY file_id, feed),
+c AS (SELECT r.file_id, r.line_no, e.key AS name, CASE e.type WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN NULL ELSE 'number' END AS type,
+CASE e.type WHEN 'NULL' THEN NULL WHEN 'ARRAY' THEN array_to_string(json_extract_string(e.value, '$[*]'), ', ') WHEN 'OBJECT' THEN json_extract_string(e.value, '$.' || '"' || json_keys(e.value)[1] || '"') ELSE json_extract_string(e.value, '$') END AS content
+FROM raw_records r, json_each(r.record) e WHERE json_valid(r.record)),
+t AS (SELECT file_id, name, type, count(*) AS n FROM c GROUP BY ALL),
+h AS (SELECT file_id, name, arg_max(type, n) FILTER (type IS NOT NULL) AS type FROM t GROUP BY ALL),
+b AS (SELECT coalesce(x.file_id, p.file_id) AS file_id, coalesce(x.name, p.name) AS name, x.type AS now, p.type AS was, x.name IS NOT NULL AS here, p.name IS NOT NULL AS there
+FROM (SELECT f.file_id, h.name, h.type FROM f JOIN h USING (file_id) WHERE prev IS NOT NULL) x FULL JOIN (SELECT f.file_id, h.name, h.type FROM f JOIN h ON h.file_id = f.prev) p ON x.file_id = p.file_id AND x.name = p.name),
+g AS (SELECT file_id, prev FROM f WHERE file_id IN (SELECT file_id FROM b WHERE here AND NOT there) AND file_id IN (SELECT file_id FROM b WHERE there AND NOT here)),
+v AS (SELECT g.file_id, a.line_no AS p, q.line_no AS q, count(*) AS votes FROM g JOIN (SELECT DISTINCT file_id, line_no, content FROM c WHERE length(content) >= 6) a ON a.file_id = g.prev
+JOIN (SELECT DISTINCT file_id, line_no, content FROM c WHERE length(content) >= 6) q ON q.file_id = g.file_id AND q.content = a.content GROUP BY ALL),
+l AS (SELECT file_id, q, arg_max(p, (votes, -p)) AS p, max(votes) AS votes FROM v GROUP BY ALL HAVING max(votes) > 2),
+s AS (SELECT o.file_id, o.name AS old, n.name AS new, avg(CAST(x.content = y.content AS INTEGER)) AS same FROM b o JOIN b n ON n.file_id = o.file_id AND n.here AND NOT n.there JOIN g ON g.file_id = o.file_id JOIN l ON l.file_id = o.file_id
+JOIN c x ON x.file_id = g.prev AND x.line_no = l.p AND x.name = o.name JOIN c y ON y.file_id = g.file_id AND y.line_no = l.q AND y.name = n.name
+WHERE o.there AND NOT o.here AND x.content IS NOT NULL AND y.content IS NOT NULL GROUP BY ALL HAVING avg(CAST(x.content = y.content AS INTEGER)) >= 0.3),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY file_id, old ORDER BY same DESC, new) = 1 AND row_number() OVER (PARTITION BY file_id, new ORDER BY same DESC, old) = 1)
+SELECT file_id, 'added' AS change, name AS column_name FROM b WHERE here AND NOT there AND (file_id, name) NOT IN (SELECT (file_id, new) FROM m)
+UNION ALL SELECT file_id, 'removed', name FROM b WHERE there AND NOT here AND (file_id, name) NOT IN (SELECT (file_id, old) FROM m)
+UNION ALL SELECT file_id, 'renamed', new FROM m
+UNION ALL SELECT m.file_id, 'retyped', new FROM m JOIN b o ON o.file_id = m.file_id AND o.name = old JOIN b n ON n.file_id = m.file_id AND n.name = new WHERE o.was <> n.now
+UNION ALL SELECT file_id, 'retyped', name FROM b WHERE here AND there AND was <> now"""
+
+
+def split_values() -> str:
+    """p3_found by a splitter that is told how slashes are set here: one with a
+    blank or an end beside it parts values, a tight one doesn't."""
+    piece, blank = r"(?:\"(?:[^\"]|\"\")*\"|[^\",;|•·\t\n\r\x{2028}]|\")+", r"[\s\p{Z}]"
+    atom = r"(?:\"(?:[^\"]|\"\")*\"|[^\"/]|\")+"
+    cells = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, row_id, '{f}' AS field, \"{f}\" AS cell FROM {t}"
+        for t, fields in (("data_analytics", ("Tags", "Technology", "Caution.Flags")), ("prospect_reviews", ("Review_Reasons",))) for f in fields
+    )
+    trim = lambda x: f"regexp_replace({x}, '^{blank}+|{blank}+$', '', 'g')"
+    hidden = lambda x: rf"regexp_replace(regexp_replace({x}, '([^\s\p{{Z}}/])/([^\s\p{{Z}}/])', '\1\x01\2', 'g'), '([^\s\p{{Z}}/])/([^\s\p{{Z}}/])', '\1\x01\2', 'g')".replace(r"\x01", "\x01")
+    bare = f"CASE WHEN length(v) > 1 AND v[1] = '\"' AND v[-1] = '\"' THEN {trim('''replace(v[2:-2], '\"\"', '\"')''')} ELSE v END"
+    return rf"""WITH c AS (SELECT *, {trim("cell")} AS t FROM ({cells}) WHERE regexp_matches(cell, '[^\s\p{{Z}}]')),
+j AS (SELECT *, t LIKE '[%]' AND json_valid(t) AS js FROM c),
+p AS (SELECT table_name, row_id, field, CASE WHEN js THEN CAST(CAST(t AS JSON) AS VARCHAR[]) ELSE list_filter(flatten(list_transform(regexp_extract_all(t, '{piece}'), lambda x: list_transform(regexp_extract_all({hidden(trim("x"))}, '{atom}'), lambda y: {trim("replace(y, chr(1), '/')")}))), lambda v: v <> '') END AS vs, js FROM j),
+q AS (SELECT table_name, row_id, field, list_filter(list_transform(vs, lambda v: CASE WHEN js THEN {trim("v")} ELSE {bare} END), lambda v: v <> '') AS vs FROM p)
+SELECT table_name, row_id, field, CAST(position AS BIGINT) AS position, value FROM (SELECT table_name, row_id, field, unnest(vs) AS value, generate_subscripts(vs, 1) AS position FROM q WHERE len(vs) > 1)"""
