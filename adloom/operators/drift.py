@@ -3,16 +3,19 @@
 The header of each file is read in parallel from its own records (JVM variant
 functions), compared with the preceding file of its feed, and folded through a
 type-promotion lattice to the union schema that all files are cast to. A rename
-is the same content under another header: adverts recur in the next file, so
-lines are aligned by values they share under any header, and a removed and an
-added column that agree on the aligned lines are one column renamed.
+is the same content under another header: adverts recur in the next file, so a
+removed and an added column are one column renamed if they hold the same values
+beside the same other values of their lines. Each other value votes by its
+rarity in both files, so an advert's own values decide and common ones matter
+only where there are no rarer ones. Votes are counts of pairs of values, so no
+two lines are ever paired, however often a value occurs.
 
 Defined results: files of a feed follow in order of written_at, ties by
-file_id; the first file of a feed has no changes; repeated lines don't count
-twice; null or unreadable records are left out; a column without non-null
-values has no type, so it is never retyped; a column renamed and retyped at
-once gives both changes; without aligned values headers that differ only in
-case or marks count as renamed.
+file_id; the first file of a feed has no changes; lines repeated in a file
+weigh as often as they stand; null or unreadable records are left out; a column
+without non-null values has no type, so it is never retyped; a column renamed
+and retyped at once gives both changes; where the files share no value beside
+the columns, headers that differ only in case or marks count as renamed.
 """
 
 from __future__ import annotations
@@ -26,10 +29,8 @@ from pyspark.sql.window import Window
 
 from adloom.session import cut
 
-#: share of aligned lines on which a renamed column's two headers agree
+#: weighted share of votes by which a renamed column's two headers agree
 SAME_CONTENT = 0.3
-#: a value that occurs in at most so many lines of a file may align them
-RARE_IN_FILE = 2
 
 #: the lattice: each type goes up to the next that holds all of its values
 LATTICE = ("null", "boolean", "number", "string", "array", "object")
@@ -60,17 +61,23 @@ def promote(a: str | None, b: str | None) -> str | None:
     return "string"
 
 
-def cells(records: DataFrame) -> DataFrame:
-    """(file_id, line_no, name, type, content): every field of every line."""
-    one = records.select("file_id", "line_no", F.expr("try_parse_json(record)").alias("v")).where(F.col("v").isNotNull())
-    spark = records.sparkSession
-    flat = one.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-    kind = F.expr("schema_of_variant(value)")
-    text = F.expr("try_variant_get(value, '$', 'string')")
-    # a list says its items, an object its first text
-    scalars = F.regexp_extract_all(F.to_json(F.col("value")), F.lit(r'"((?:[^"\\]|\\.)*+)"(?!\s*:)'), F.lit(1))
-    content = F.when(kind.startswith("ARRAY"), F.concat_ws(", ", scalars)).when(kind.startswith("OBJECT"), F.get(scalars, F.lit(0))).otherwise(text)
-    return flat.select("file_id", "line_no", F.col("key").alias("name"), json_type(kind).alias("type"), F.when(kind != "VOID", content).alias("content"))
+def parsed(records: DataFrame, content: bool) -> DataFrame:
+    """(file_id, line_no, cells): each line with its fields as an array of
+    struct(name, type, content); without content if it isn't asked for."""
+    v = F.expr("try_variant_get(try_parse_json(record), '$', 'map<string,variant>')")
+
+    def cell(e: Column) -> Column:
+        value = e["value"]
+        kind = F.schema_of_variant(value)
+        if not content:
+            return F.struct(e["key"].alias("name"), json_type(kind).alias("type"))
+        # a list says its items, an object its first text
+        scalars = F.regexp_extract_all(F.to_json(value), F.lit(r'"((?:[^"\\]|\\.)*+)"(?!\s*:)'), F.lit(1))
+        text = F.try_variant_get(value, "$", "string")
+        says = F.when(kind.startswith("ARRAY"), F.concat_ws(", ", scalars)).when(kind.startswith("OBJECT"), F.get(scalars, F.lit(0))).otherwise(text)
+        return F.struct(e["key"].alias("name"), json_type(kind).alias("type"), F.when(kind != "VOID", says).alias("content"))
+
+    return records.select("file_id", "line_no", F.explode(F.array(F.map_entries(v))).alias("e")).where(F.col("e").isNotNull()).select("file_id", "line_no", F.transform("e", cell).alias("cells"))
 
 
 def _pairs(records: DataFrame) -> DataFrame:
@@ -80,60 +87,68 @@ def _pairs(records: DataFrame) -> DataFrame:
     return files.select("file_id", F.lag("file_id").over(Window.partitionBy("feed").orderBy("written_at", "file_id")).alias("prev")).where(F.col("prev").isNotNull())
 
 
-def headers(c: DataFrame) -> DataFrame:
+def headers(records: DataFrame) -> DataFrame:
     """(file_id, name, type): the header of each file with each column's type,
-    that of most non-null values, ties to the first by name."""
-    per = c.groupBy("file_id", "name", "type").agg(F.count("*").alias("n"))
-    return per.groupBy("file_id", "name").agg(F.max_by("type", F.struct(F.col("type").isNotNull(), "n", "type")).alias("type"))
-
-
-def _renames(c: DataFrame, gone: DataFrame, come: DataFrame) -> DataFrame:
-    """(file_id, old, new): columns renamed, by content on aligned lines."""
-    both = gone.select("file_id", "prev").distinct().join(come.select("file_id", "prev").distinct(), ["file_id", "prev"])
-    # rare values of either file, under any header, vote for pairs of lines
-    before = c.join(both.select(F.col("file_id").alias("f"), F.col("prev").alias("file_id")), "file_id").select(F.col("f").alias("file_id"), F.lit(0).alias("side"), "line_no", "name", "content")
-    after = c.join(both.select("file_id"), "file_id").select("file_id", F.lit(1).alias("side"), "line_no", "name", "content")
-    lines = cut(before.unionByName(after).where(F.length("content") >= 1).distinct())
-    rare = (
-        lines.where(F.length("content") >= 6).groupBy("file_id", "content", "side").agg(F.collect_set("line_no").alias("lines"))
-        .where(F.size("lines") <= RARE_IN_FILE)
-    )
-    votes = (
-        rare.where("side = 0").select("file_id", "content", F.explode("lines").alias("p"))
-        .join(rare.where("side = 1").select("file_id", "content", F.explode("lines").alias("q")), ["file_id", "content"])
-        .groupBy("file_id", "p", "q").agg(F.count("*").alias("votes"))
+    that of most non-null values, ties to the first of the lattice."""
+    per = parsed(records, False).select("file_id", F.explode("cells").alias("c")).select("file_id", "c.name", "c.type").groupBy("file_id", "name", "type").agg(F.count(F.lit(1)).alias("n"))
+    # count and type in one number, so that the maximum is a plain hash aggregate
+    code = F.coalesce(*(F.when(F.col("type") == t, F.lit(len(LATTICE) - k)) for k, t in enumerate(LATTICE)), F.lit(0)).cast("long")
+    best = per.groupBy("file_id", "name").agg(F.max(F.when(code > 0, F.col("n") * 8 + code).otherwise(F.lit(0).cast("long"))).alias("best"))
+    kind = F.coalesce(*(F.when(F.col("best") % 8 == len(LATTICE) - k, F.lit(t)) for k, t in enumerate(LATTICE)))
+    return best.select("file_id", "name", F.when(F.col("best") > 0, kind).alias("type"))
+
+
+def _votes(lines: DataFrame, name: str) -> DataFrame:
+    """(file_id, <name>, x, y, n): how many lines hold y in a column that came or
+    went and x beside it; repeats of x in a line count once."""
+    ys = F.explode(F.filter("cells", lambda c: F.array_contains("names", c["name"]) & c["content"].isNotNull())).alias("y")
+    xs = F.array_distinct(F.transform(F.filter("cells", lambda c: F.coalesce(c["content"], F.lit("")) != ""), lambda c: c["content"]))
+    each = lines.select("file_id", xs.alias("xs"), ys).select("file_id", F.col("y.name").alias(name), F.explode(F.filter("xs", lambda x: x != F.col("y.content"))).alias("x"), F.col("y.content").alias("y"))
+    return each.groupBy("file_id", name, "x", "y").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _renames(records: DataFrame, gone: DataFrame, come: DataFrame) -> DataFrame:
+    """(file_id, old, new): columns renamed, by what they hold beside the same values."""
+    went = gone.groupBy("file_id", "prev").agg(F.collect_list("name").alias("names"))  # names of one header
+    came = come.groupBy("file_id", "prev").agg(F.collect_list("name").alias("names"))
+    both = went.join(came.select("file_id", "prev", F.col("names").alias("new_names")), ["file_id", "prev"])
+    lines = parsed(records.join(both.select(F.explode(F.array("file_id", "prev")).alias("file_id")).distinct(), "file_id", "left_semi"), True)
+    before = lines.withColumnRenamed("file_id", "prev").join(both.select("file_id", "prev", "names"), "prev")
+    after = lines.join(both.select("file_id", F.col("new_names").alias("names")), "file_id")
+    old, new = cut(_votes(before, "old")), cut(_votes(after, "new"))
+    n_old = old.groupBy("file_id", "old", "x").agg(F.sum("n").alias("n_old"))
+    n_new = new.groupBy("file_id", "new", "x").agg(F.sum("n").alias("n_new"))
+    same = (
+        old.join(new.withColumnRenamed("n", "m"), ["file_id", "x", "y"])
+        .groupBy("file_id", "old", "new", "x").agg(F.sum(F.least("n", "m")).alias("same"))
     )
-    # each line of the file goes with the line before that shares most
-    aligned = votes.groupBy("file_id", "q").agg(F.max_by("p", F.struct(F.col("votes"), -F.col("p"))).alias("p"))
-    old = lines.where("side = 0").join(gone.select("file_id", "name"), ["file_id", "name"]).select("file_id", F.col("line_no").alias("p"), F.col("name").alias("old"), F.col("content").alias("was"))
-    new = lines.where("side = 1").join(come.select("file_id", "name"), ["file_id", "name"]).select("file_id", F.col("line_no").alias("q"), F.col("name").alias("new"), F.col("content").alias("now"))
+    weight = 1.0 / (F.col("n_old") * F.col("n_new"))
+    share = F.coalesce("same", F.lit(0)) / F.least("n_old", "n_new")
     agree = (
-        aligned.join(old, ["file_id", "p"]).join(new, ["file_id", "q"]).groupBy("file_id", "old", "new")
-        .agg(F.count("*").alias("n"), F.avg((F.col("was") == F.col("now")).cast("double")).alias("same"))
+        n_old.join(n_new, ["file_id", "x"]).join(same, ["file_id", "old", "new", "x"], "left")
+        .groupBy("file_id", "old", "new").agg((F.sum(weight * share) / F.sum(weight)).alias("same"))
     )
     plain = lambda x: F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]", "")
     spelled = gone.select("file_id", F.col("name").alias("old")).join(come.select("file_id", F.col("name").alias("new")), "file_id").where(plain(F.col("old")) == plain(F.col("new")))
     score = (
         agree.join(spelled.withColumn("spelled", F.lit(1.0)), ["file_id", "old", "new"], "full")
-        .select("file_id", "old", "new", F.when(F.col("same") >= SAME_CONTENT, F.col("same")).when(F.col("n").isNull(), F.col("spelled") * 0.1).alias("score"))
+        .select("file_id", "old", "new", F.when(F.col("same") >= SAME_CONTENT, F.col("same")).when(F.col("same").isNull(), F.col("spelled") * 0.1).alias("score"))
         .where(F.col("score").isNotNull())
     )
-    rank = lambda key, other: F.row_number().over(Window.partitionBy("file_id", key).orderBy(F.desc("score"), other))
+    rank = lambda key, other: F.row_number().over(Window.partitionBy("file_id", key).orderBy(F.desc(F.round("score", 9)), other))
     return score.withColumns({"a": rank("old", "new"), "b": rank("new", "old")}).where("a = 1 and b = 1").select("file_id", "old", "new")
 
 
 def changes(records: DataFrame) -> DataFrame:
     """(file_id, change, column_name, before, type_before, type): each
     difference of a file from the preceding one of its feed."""
-    lines = records.select("file_id", "feed", "written_at", "line_no", "record").dropDuplicates(["file_id", "line_no"])
-    c = cut(cells(lines))
     pairs = _pairs(records)
-    h = cut(headers(c))
+    h = cut(headers(records))
     now = pairs.join(h, "file_id").select("file_id", "prev", "name", F.col("type").alias("t_now"), F.lit(True).alias("in_now"))
     was = pairs.join(h.withColumnRenamed("file_id", "prev"), "prev").select("file_id", "prev", "name", F.col("type").alias("t_was"), F.lit(True).alias("in_was"))
     both = cut(now.join(was, ["file_id", "prev", "name"], "full"))
     gone, come = both.where(F.col("in_now").isNull()), both.where(F.col("in_was").isNull())
-    renamed = cut(_renames(c, gone, come))
+    renamed = cut(_renames(records, gone, come))
     moved = (
         renamed.join(gone.select("file_id", F.col("name").alias("old"), "t_was"), ["file_id", "old"])
         .join(come.select("file_id", F.col("name").alias("new"), "t_now"), ["file_id", "new"])
@@ -158,7 +173,7 @@ def unified_columns(records: DataFrame, family: str) -> dict[str, tuple[list[str
     """
     own = records.where(F.col("family") == family)
     log = changes(own).where("change = 'renamed'").groupBy("before", "column_name").agg(F.count("*").alias("n")).collect()
-    heads = headers(cells(own.dropDuplicates(["file_id", "line_no"]))).groupBy("name", "type").agg(F.count("*").alias("files")).collect()
+    heads = headers(own).groupBy("name", "type").agg(F.count("*").alias("files")).collect()
     parent: dict[str, str] = {}
 
     def find(x: str) -> str:
@@ -195,7 +210,7 @@ def unify(records: DataFrame, family: str) -> DataFrame:
     """One table of a family: file_id, line_no and the union of all columns,
     every file cast to the promoted types; absent columns are null."""
     columns = unified_columns(records, family)
-    lines = records.where(F.col("family") == family).dropDuplicates(["file_id", "line_no"]).withColumn("m", F.from_json("record", "map<string,string>"))
+    lines = records.where(F.col("family") == family).withColumn("m", F.from_json("record", "map<string,string>"))
     out = []
     for name, (spellings, kind) in columns.items():
         raw = F.coalesce(*(F.try_element_at("m", F.lit(s)) for s in spellings))

@@ -61,3 +61,20 @@ def test_lattice():
         assert drift.promote(a, a) == a
         for b in drift.LATTICE[1:]:
             assert drift.promote(a, b) == drift.promote(b, a)
+
+
+def test_values_that_are_common_in_a_file(spark):
+    # each line stands three times, and one advert fills most of the file
+    often = lambda lines: [r for r in lines for _ in range(3)] + [lines[0]] * 30
+    files = [(1, often(_lines(6))), (2, often(_lines(6, title="Role", grade="Mark")))]
+    assert _changes(_files(spark, files)) == [(2, "renamed", "Mark"), (2, "renamed", "Role")]
+
+
+def test_key_renamed_too(spark):
+    files = [(1, _lines(8)), (2, _lines(8, id="Advert", title="Role"))]
+    assert _changes(_files(spark, files)) == [(2, "renamed", "Advert"), (2, "renamed", "Role")]
+
+
+def test_other_content_is_no_rename(spark):
+    files = [(1, _lines(8)), (2, [{**{k: v for k, v in r.items() if k != "title"}, "pay": f"{n} 000"} for n, r in enumerate(_lines(8))])]
+    assert _changes(_files(spark, files)) == [(2, "added", "pay"), (2, "removed", "title")]
