@@ -3,16 +3,23 @@
 Labelled exemplars (kinds of residue, and sentences that only speak of such
 things) are words in an inverted index. Each field is cut into passage windows;
 a window retrieves the exemplars that share a word with it, exactly or but for
-slips, and is scored by TF-IDF containment: the share of an exemplar's weight that the window holds
-(for filler: the share of the window's weight that the exemplar holds), with
-words one or two slips apart counting a little less. Document frequencies are
-counted over all windows of all fields. Unfilled slots become one word, so that
-they are exemplars too. The exemplar with the highest coverage decides.
+slips, and is scored by TF-IDF containment: the share of an exemplar's weight
+that the window holds (for filler: the share of the window's weight that the
+exemplar holds), with words one or two slips apart counting a little less.
+Document frequencies are counted over all windows of all fields. The exemplar
+with the highest coverage decides.
+
+What has a shape rather than a wording is read as a word of its own: an
+unfilled slot, a window of one repeated word, keys struck at random, marks
+without letters, a field that holds nothing else but page frame. Exemplars are
+made of such words too, so a slot or "xxx" is found by the index and cleared by
+a sentence about it like any other text. More exemplars may be given.
 
 Defined results: null and blank fields give no row; a field is named once
 however many windows match; a window that is covered as well by a sentence
-about such things is none; markup around a text is no residue; repeated rows
-give one row each; texts of any length are read whole.
+about such things is none; markup around a text is no residue; what stands
+beside a bar is judged by itself, and a text beside filler keeps the field;
+repeated rows give one row each; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -35,7 +42,11 @@ COVERAGE = 0.72
 TALK_COVERAGE = 0.55
 #: least share of a window that filler covers
 FILLER_COVERAGE = 0.8
-#: words whose slips are kept in a worker's memory
+#: words of either side in a window across the end of a sentence; no exemplar is longer
+REACH = 14
+#: words of a part that may be a page's frame ("Home | Jobs | Help")
+FRAME = 4
+#: words and windows whose judgement is kept in a worker's memory
 MEMO = 200_000
 
 # Labelled exemplars. -------------------------------------------------
@@ -48,6 +59,8 @@ SCRIPT_NOTICES = (
     "Povolte prosím skripty", "Pro zobrazení obsahu povolte ve svém prohlížeči JavaScript", "Tato stránka vyžaduje zapnuté skripty a cookies",
     "Bez JavaScriptu se inzerát nenačte", "Aby stránka fungovala, je nutné mít aktivní javascript", "Zapněte si JavaScript",
     "Bitte aktivieren Sie JavaScript, um die Anzeige zu sehen", "Zugang gesperrt - Skripte aktivieren", "Veuillez activer JavaScript pour afficher l'offre",
+    "Bitte schalten Sie JavaScript in Ihrem Browser ein", "Bitte schalten Sie JavaScript ein", "JavaScript ist in Ihrem Browser deaktiviert", "JavaScript est désactivé dans votre navigateur",
+    "Activa JavaScript en tu navegador para ver esta página", "Włącz JavaScript w przeglądarce, aby zobaczyć stronę", "Включите JavaScript в браузере для просмотра страницы",
 )
 ERROR_PAGES = (
     "Access denied", "403 Forbidden", "Internal Server Error", "500 Internal server error", "502 Bad Gateway", "504 Gateway time-out", "Gateway time-out",
@@ -63,6 +76,10 @@ ERROR_PAGES = (
     "Zkontrolujte adresu nebo se vraťte na úvod", "Na stránkách právě probíhá údržba, vraťte se za chvíli", "Váš požadavek byl zablokován ochranou webu",
     "Stránka nebyla nalezena", "Stránka nenalezena", "Přístup odepřen", "Zugriff verweigert, bitte später erneut versuchen", "Seite wurde nicht gefunden",
     "Interner Serverfehler", "Page introuvable. Retour à l'accueil", "Page introuvable", "Erreur interne du serveur", "Accès refusé",
+    "Oops! That page can't be found", "The page can't be found", "Die Seite ist leider nicht erreichbar", "upstream connect error or disconnect/reset before headers", "This site can't be reached",
+    "The service is temporarily unavailable, please try again later", "Service indisponible, veuillez réessayer plus tard", "Dienst vorübergehend nicht verfügbar",
+    "Página no encontrada", "Error interno del servidor", "Acceso denegado", "Nie znaleziono strony", "Wewnętrzny błąd serwera", "Brak dostępu", "Страница не найдена",
+    "Внутренняя ошибка сервера", "Доступ запрещён",
 )
 UNFILLED = (
     "This is a test vacancy, please do not apply", "Created by QA on staging", "Sample job description for preview only, replace before publishing",
@@ -75,7 +92,11 @@ FILLER = (
     "test", "text", "popis", "bla", "xxx", "abc", "blindtext", "asdf", "qwerty", "foo bar baz",
 )
 #: values that are filler if they are all that a field holds
-WHOLE = frozenset("xxx xx todo tbd tba undefined nan lorem lorem-ipsum test text popis bla status_here asdf null none".split()) - {"null", "none"}
+WHOLE = tuple("xxx xx todo tbd tba undefined nan lorem lorem-ipsum test text popis bla status_here asdf null none n/a".split())
+#: words that stand for a shape
+SLOT, SAME, STRUCK, EMPTY, ALONE = "§slot", "§same", "§struck", "§empty", "§alone"
+#: exemplars made of shapes: a slot anywhere, one word over and over, struck keys, marks only
+SHAPES = (("slot", (SLOT,)), ("filler", (SAME,)), ("filler", (STRUCK,)), ("filler", (ALONE, EMPTY)))
 SENTENCES_ABOUT = (
     "You test what users see when access is denied or a session has expired", "You know Jinja and can explain why SLOT must be escaped",
     "You analyse 404 and 500 errors in server logs", "The trial version of our app must run where scripts are disabled",
@@ -113,10 +134,9 @@ STRONG_SLOT = re.compile(
 _NAMES = "|".join(sorted((n.replace("_", r"[_\s]+") for n in SLOT_NAMES), key=len, reverse=True))
 WEAK_SLOT = re.compile(rf"[\[{{«<#]\s*(?:{_NAMES})(?:\|\w+)?\s*[\]}}»>#]", re.I)
 TAG = re.compile(r"</?(?:h[1-6]|p|div|br|span|ul|ol|li|b|i|em|strong|a|html|head|body|title|table|tr|td|th|noscript|script|center|hr|section|article|main|header|footer|nav|meta|link|pre|code)(?:\s[^<>]*)?/?>", re.I)
-SLOT = "§slot"
 MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u20d0-\u20ff]")
 END = re.compile(r"(?<=[.!?])\s+|\n+|\s\.{3}\s|[|×•·…]+")
-WORD = re.compile(r"§slot|[^\W_]+")
+WORD = re.compile(r"§\w+|[^\W_]+")
 HOME_ROW = frozenset("asdfghjklqwe")
 
 
@@ -124,15 +144,30 @@ def fold(text: str) -> str:
     return (text if text.isascii() else MARKS.sub("", unicodedata.normalize("NFKD", text))).casefold()
 
 
+#: marks the end of a sentence inside a window
+JOINT = " \u241e "
+SLOT_MARKS = re.compile(r"[{}\[<«$%@#]|__|XX_|_here", re.I)
+SHORT_FORMS = re.compile(r"\b(?:např|napr|e\.g|i\.e|tzv|č)\.")
+
+
+def plain(text: str) -> str:
+    """A text whose slots are one word each and whose markup is gone."""
+    t = html.unescape(text) if "&" in text else text
+    if SLOT_MARKS.search(t):
+        t = WEAK_SLOT.sub(f" {SLOT} ", STRONG_SLOT.sub(f" {SLOT} ", t))
+        if "<" in t:
+            t = TAG.sub("\n", t)
+    return SHORT_FORMS.sub(" ", t)
+
+
 def windows(text: str) -> list[str]:
-    """Passage windows: sentences, and each pair of short neighbours."""
-    plain = html.unescape(text)
-    plain = STRONG_SLOT.sub(f" {SLOT} ", plain)
-    plain = WEAK_SLOT.sub(f" {SLOT} ", plain)
-    plain = re.sub(r"\b(?:např|napr|e\.g|i\.e|tzv|č)\.", " ", TAG.sub("\n", plain))
-    parts = [p.strip() for p in END.split(plain) if p and p.strip()]
-    pairs = [f"{a} {b}" for a, b in zip(parts, parts[1:]) if len(a) < 40 and len(b) < 120]
-    return parts + pairs
+    """Passage windows: sentences, and what stands around the end of each. The
+    latter are as wide as any exemplar, so one that is cut in two is in one of them."""
+    parts = [p.strip() for p in END.split(plain(text)) if p and p.strip()]
+    out = list(parts)
+    for a, b in zip(parts, parts[1:]):
+        out.append(f"{' '.join(a.split()[-REACH:])}{JOINT}{' '.join(b.split()[:REACH])}")
+    return out
 
 
 def words(window: str) -> list[str]:
@@ -158,21 +193,36 @@ def slips(a: str, b: str, most: int) -> bool:
     return row[-1] <= most
 
 
+def exemplar_words(text: str) -> tuple[str, ...]:
+    return tuple(words(text.replace("SLOT", SLOT)))
+
+
+def default_exemplars() -> list[tuple[str, tuple[str, ...]]]:
+    """(kind, words) of the labelled exemplars above."""
+    named = (("notice", SCRIPT_NOTICES), ("error", ERROR_PAGES), ("unfilled", UNFILLED), ("filler", FILLER), ("about", SENTENCES_ABOUT))
+    out = [(kind, exemplar_words(t)) for kind, texts in named for t in texts]
+    return out + [("filler", (ALONE, *exemplar_words(t))) for t in WHOLE] + list(SHAPES)
+
+
 class Index:
     """Inverted index of the exemplars with TF-IDF weights."""
 
-    def __init__(self, df: dict[str, int], total: int):
+    def __init__(self, df: dict[str, int], total: int, exemplars: list[tuple[str, tuple[str, ...]]] | None = None):
         self.total, self.df = max(total, 1), df
         self.exemplars: list[tuple[str, dict[str, float], float]] = []
         self.posting: dict[str, list[int]] = defaultdict(list)
         self.memo: dict[str, list[tuple[str, float]]] = {}
-        for kind, texts in (("notice", SCRIPT_NOTICES), ("error", ERROR_PAGES), ("unfilled", UNFILLED), ("filler", FILLER), ("about", SENTENCES_ABOUT)):
-            for t in texts:
-                ws = Counter(words(t.replace("SLOT", SLOT)))
-                weight = {w: self.idf(w) for w in ws}
-                for w in weight:
-                    self.posting[w].append(len(self.exemplars))
-                self.exemplars.append((kind, weight, sum(weight.values())))
+        self.known: dict[str, str | None] = {}
+        for kind, ws in exemplars or default_exemplars():
+            weight = {w: self.idf(w) for w in ws}
+            for w in weight:
+                self.posting[w].append(len(self.exemplars))
+            self.exemplars.append((kind, weight, sum(weight.values())))
+        # exemplar words by length, for slips
+        self.by_length: dict[int, list[str]] = defaultdict(list)
+        for w in self.posting:
+            if not w.startswith("§"):
+                self.by_length[len(w)].append(w)
 
     def idf(self, word: str) -> float:
         if word.isdigit():
@@ -182,26 +232,36 @@ class Index:
     def near(self, h: str) -> list[tuple[str, float]]:
         """Exemplar words that a window's word is a slip of, and how much each counts."""
         if (known := self.memo.get(h)) is None:
-            known = []
-            for w in self.posting:
-                if w == h or w == SLOT:
-                    continue
-                if len(w) > 3:
-                    if len(h) > 2 and h[0] in (w[0], w[1]) and slips(w, h, 1 if len(w) < 8 else 2):
-                        known.append((w, 0.9))
-                elif len(w) == 3 and len(h) == 3 and not w.isdigit() and sorted(h) == sorted(w):
-                    known.append((w, 0.8))
+            known, n = [], len(h)
+            if not h.startswith("§"):
+                for w in (w for m in range(n - 2, n + 3) for w in self.by_length.get(m, ())):
+                    if w == h:
+                        continue
+                    if len(w) > 3:
+                        if n > 2 and h[0] in (w[0], w[1]) and slips(w, h, 1 if len(w) < 8 else 2):
+                            known.append((w, 0.9))
+                    elif len(w) == 3 and n == 3 and not w.isdigit() and sorted(h) == sorted(w):
+                        known.append((w, 0.8))
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             self.memo[h] = known
         return known
 
-    def judge(self, window: str) -> str | None:
-        """Kind of residue that a window is, or None."""
+    def judge(self, window: str, alone: bool = False) -> str | None:
+        """Kind of residue that a window is, or None; ``alone`` says that the
+        field holds nothing else but frame."""
+        if alone:
+            return self._judge(window, True)
+        found = self.known.get(window, "")
+        if found == "":
+            if len(self.known) >= MEMO:
+                self.known.clear()
+            found = self.known[window] = self._judge(window, False)
+        return found
+
+    def _judge(self, window: str, alone: bool) -> str | None:
         ws = words(window)
-        if not ws:
-            return None
-        have, hits = set(ws), defaultdict(float)
+        have, hits = set(ws) | shapes(window, ws, alone), defaultdict(float)
         held = {w: 1.0 for w in have if w in self.posting}
         for h in have:
             for w, part in self.near(h):
@@ -211,28 +271,62 @@ class Index:
             for k in self.posting[w]:
                 hits[k] += x
         best: tuple[float, str] = (0.0, "")
-        about = 0.0
+        about, slot = 0.0, False
+        mass = sum(map(self.idf, ws))
         for k, got in hits.items():
             kind, weight, total = self.exemplars[k]
-            if kind == "filler":
-                mass = sum(self.idf(w) for w in ws)
+            if alone and ALONE not in weight:
+                continue  # a field as a whole is judged by its windows else
+            share = min(1.0, got / total + 1e-9)  # sums differ in their last digits
+            if kind == "about":
+                about = max(about, share)
+            elif kind == "slot":
+                slot = True
+            elif ALONE in weight:
+                # a field's only word counts as a whole
+                if share >= 1 - 0.1 * (len(max(weight, key=len)) > 6) and len(ws) <= len(weight):
+                    best = max(best, (1.0, kind))
+            elif kind == "filler" and len(weight) > 1 or kind == "filler" and not next(iter(weight)).startswith("§"):
                 share = sum(self.idf(w) for w in ws if w in weight) / mass if mass else 0.0
                 if share >= FILLER_COVERAGE and len(ws) >= 3:
                     best = max(best, (share, kind))
-                continue
-            share = got / total
-            if kind == "about":
-                about = max(about, share)
-            elif share >= COVERAGE:
+            elif share >= COVERAGE and (JOINT not in window or self.close(ws, weight, total)):
                 best = max(best, (share, kind))
-        top, n = Counter(ws).most_common(1)[0]
-        if len(ws) >= 4 and n >= 0.75 * len(ws) and top.isalpha():
-            best = max(best, (1.0, "filler"))
-        if SLOT in have and about < TALK_COVERAGE:
+        # a slot is all of its exemplar's weight, so less of a sentence about slots clears it
+        if slot and about < TALK_COVERAGE:
             return "slot"
-        if best[0] and about < max(best[0], COVERAGE):
-            return best[1]
-        return "filler" if mashed(ws) else None
+        return best[1] if best[0] and about < max(best[0], COVERAGE) else None
+
+
+    def close(self, ws: list[str], weight: dict[str, float], total: float) -> bool:
+        """Whether the exemplar's words stand together: within half as many words again."""
+        part = [max((weight[w] * x for w, x in ((h, 1.0), *self.near(h)) if w in weight), default=0.0) for h in ws]
+        names = [next((w for w in (h, *(n for n, _ in self.near(h))) if w in weight), "") for h in ws]
+        span = len(weight) + (len(weight) + 1) // 2
+        for i in range(max(1, len(ws) - span + 1)):
+            best: dict[str, float] = {}
+            for w, x in zip(names[i : i + span], part[i : i + span]):
+                if w:
+                    best[w] = max(best.get(w, 0.0), x)
+            if sum(best.values()) >= COVERAGE * total - 1e-9:
+                return True
+        return False
+
+
+def shapes(window: str, ws: list[str], alone: bool) -> set[str]:
+    """Words that stand for the shape of a window."""
+    out = {ALONE} if alone else set()
+    if not ws:
+        t = window.strip()
+        return out | {EMPTY} if t and re.fullmatch(r"[-–—._\s]+", t) and re.search(r"[-–—._]", t) else out
+    top, n = Counter(ws).most_common(1)[0]
+    if len(ws) >= 4 and n >= 0.75 * len(ws) and top.isalpha():
+        out.add(SAME)
+    if alone and len(ws) == 1 and re.fullmatch(r"(.)\1{2,}", top) and top.isalpha():
+        out.add(SAME)
+    if mashed(ws):
+        out.add(STRUCK)
+    return out
 
 
 def mashed(ws: list[str]) -> bool:
@@ -244,38 +338,48 @@ def mashed(ws: list[str]) -> bool:
     return any(re.search(r"[^ae]{4}", w) for w in struck) or (len(longest) >= 8 and bool(re.search(r"[^ae]{3}", longest)))
 
 
-def whole_filler(text: str) -> bool:
-    """Whether all that a field holds is a filler mark."""
-    t = re.sub(r"\[\d+\s*ms\]|\([0-9a-f]{8}\)|[×©]", " ", html.unescape(TAG.sub(" ", text)))
-    t = fold(t.split("|")[0]).strip(" \n\t\r\xa0")  # what follows a bar is the page's frame
-    if len(t) > 6 and any(len(w) > 6 and slips(t, w, 1) for w in WHOLE):
-        return True
-    return t in WHOLE or bool(re.fullmatch(r"[-–—._\s]+", t) and re.search(r"[-–—._]", t)) or bool(re.fullmatch(r"(.)\1{2,}", t) and t.isalpha())
+NOISE = re.compile(r"\[\d+\s*ms\]|\([0-9a-f]{8}\)|[×©]")
+
+
+def alone(text: str) -> list[str]:
+    """The parts of a field of which each may be all that it says: parts between
+    bars, if all are as short as a page's frame; a text beside them is more."""
+    parts = [p.strip(" \n\t\r\xa0") for p in NOISE.sub(" ", TAG.sub(" ", html.unescape(text))).split("|")]
+    parts = [p for p in parts if p]
+    long_ = [p for p in parts if len(p.split()) > FRAME]
+    return [] if long_ else parts
 
 
 def judge_field(index: Index, text: str | None) -> str | None:
     if not text or not text.strip():
         return None
-    if whole_filler(text):
-        return "filler"
+    for p in alone(text) if len(text) < 400 or "|" in text else ():
+        if (kind := index.judge(p, True)) is not None:
+            return kind
     for w in windows(text):
         if (kind := index.judge(w)) is not None:
             return kind
     return None
 
 
-def _frequencies(cells: DataFrame) -> tuple[dict[str, int], int]:
+def _frequencies(cells: DataFrame, vocabulary: frozenset[str]) -> tuple[dict[str, int], int]:
     """Document frequencies of the exemplars' words over all windows; what
     comes to the driver is bounded by the words of the exemplars."""
-    vocabulary = set(Index({}, 1).posting)
 
     def count(batches):
+        known: dict[str, frozenset[str]] = {}
+        seen: Counter = Counter()
         for pdf in batches:
-            seen: Counter = Counter()
             for t in pdf["text"]:
                 for w in windows(t):
+                    hit = known.get(w)
+                    if hit is None:
+                        if len(known) >= MEMO:
+                            known.clear()
+                        hit = known[w] = vocabulary.intersection(words(w))
                     seen[""] += 1
-                    seen.update(vocabulary.intersection(words(w)))
+                    seen.update(hit)
+        if seen:
             yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
     rows = cells.mapInPandas(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
@@ -283,27 +387,18 @@ def _frequencies(cells: DataFrame) -> tuple[dict[str, int], int]:
     return df, df.pop("", 1)
 
 
-def find_residue(df: DataFrame, fields: list[str], row_id: str = "row_id") -> DataFrame:
-    """(row_id, field, kind) of each field that holds residue."""
+def find_residue(df: DataFrame, fields: list[str], row_id: str = "row_id", exemplars: list[tuple[str, str]] = ()) -> DataFrame:
+    """(row_id, field, kind) of each field that holds residue. ``exemplars`` are
+    further (kind, text): notice, error, unfilled, filler or about."""
     each = F.array_compact(F.array(*(F.when(F.col(f"`{f}`").rlike(r"(?U)\S"), F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").cast("string").alias("text"))) for f in fields)))
     cells = spread(df.select(F.col(f"`{row_id}`").alias("row_id"), *(F.col(f"`{f}`") for f in fields)), "row_id").select("row_id", F.explode(each).alias("c")).select("row_id", "c.field", "c.text")
-    frequencies, total = _frequencies(cells)
+    known = default_exemplars() + [(kind, exemplar_words(t)) for kind, t in exemplars]
+    frequencies, total = _frequencies(cells, frozenset(w for _, ws in known for w in ws))
 
     def judge(batches):
-        index = Index(frequencies, total)
-        seen: dict[str, str | None] = {}
+        index = Index(frequencies, total, known)
         for pdf in batches:
-            kinds = []
-            for t in pdf["text"]:
-                if len(t) < 200:
-                    if t not in seen:
-                        seen[t] = judge_field(index, t)
-                    kinds.append(seen[t])
-                else:
-                    kinds.append(judge_field(index, t))
-            if len(seen) > 200_000:
-                seen.clear()
-            out = pd.DataFrame({"row_id": pdf["row_id"], "field": pdf["field"], "kind": kinds})
+            out = pd.DataFrame({"row_id": pdf["row_id"], "field": pdf["field"], "kind": [judge_field(index, t) for t in pdf["text"]]})
             yield out[out["kind"].notna()]
 
     return cells.mapInPandas(judge, "row_id bigint, field string, kind string")

@@ -45,3 +45,49 @@ def test_repeats_and_empty(spark):
 
 def test_windows_are_whole():
     assert "zz end" in residue.windows("We need SQL.\n" * 5000 + "zz end")
+
+
+def test_text_beside_a_bar_is_kept(spark):
+    advert = "We look for a data analyst who measures returns per region and likes long walks."
+    assert _run(spark, [f"xxx | {advert}", "xxx | Home", f"{advert} | xxx", "Jobs | todo | Help"]) == [1, 3]
+
+
+def test_phrasings_that_are_no_exemplar(spark):
+    bad = [
+        "Oops! That page can't be found.", "Sorry, but the page can't be found", "Bitte schalten Sie JavaScript im Browser ein", "Die Seite ist nicht erreichbar", "upstream connect error or reset before headers",
+        "La página no ha sido encontrada: página no encontrada", "Nie znaleziono strony (404)", "Страница не найдена", "Prosím povolte skripty", "Activer JavaScript pour afficher l'offre",
+    ]
+    assert _run(spark, bad) == list(range(len(bad)))
+
+
+def test_notice_across_sentences(spark):
+    long = "Our team of nine people builds tools for planners who move goods by rail and by road across six countries"
+    assert _run(spark, [f"{long}. Page not\nfound", f"{long}\nEnable JavaScript\nand cookies to continue\n{long}"]) == [0, 1]
+
+
+def test_exemplars_can_be_given(spark):
+    df = spark.createDataFrame([(1, "Friends, the kiosk sleeps until dawn."), (2, "We need SQL.")], "row_id long, f string")
+    assert residue.find_residue(df, ["f"]).count() == 0
+    assert [r["row_id"] for r in residue.find_residue(df, ["f"], exemplars=[("notice", "Kiosk sleeps until dawn")]).collect()] == [1]
+
+
+def test_index_finds_what_all_exemplars_would():
+    import random
+
+    rng = random.Random(5)
+    index = residue.Index({"page": 30, "the": 80, "server": 4}, 400)
+    vocabulary = [w for w in index.posting if not w.startswith("§")] + ["data", "analyst", "plan"]
+    for _ in range(400):
+        ws = [rng.choice(vocabulary) for _ in range(rng.randint(1, 9))]
+        ws = [w[:2] + w[3:] if len(w) > 5 and rng.random() < 0.2 else w for w in ws]
+        held = {}
+        for h in set(ws):
+            for w, part in ((h, 1.0), *index.near(h)):
+                held[w] = max(held.get(w, 0.0), part)
+        every = {k for k, (_, weight, total) in enumerate(index.exemplars) if sum(x * held.get(w, 0.0) for w, x in weight.items()) / total >= residue.COVERAGE}
+        assert every <= {k for w in held for k in index.posting.get(w, ())}
+
+
+def test_equal_coverage_clears_whatever_the_order_of_sums(spark):
+    texts = ["You test what users see when access is denied or a session has expired."] * 40
+    assert _run(spark, texts) == []
