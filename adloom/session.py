@@ -60,14 +60,17 @@ def spread(df: DataFrame, key: str, per_core: int = 3) -> DataFrame:
     return df.repartition(per_core * cores, F.col(f"`{key}`"))
 
 
-#: most rows of a table that is sent whole to every task
-SMALL = 100_000
+#: most rows, and most characters of their texts, of a table that is sent whole to every task
+SMALL = 500_000
+SMALL_TEXT = 32_000_000
 
 
 def small(df: DataFrame) -> DataFrame:
     """Broadcast a lookup table if its checked size allows; else leave the join
-    to the planner."""
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+    to the planner. The table is counted, so it should be cheap or cut."""
+    texts = [F.length(F.to_json(F.struct(F.col(f"`{c}`")))) if "<" in t else F.length(F.col(f"`{c}`").cast("string")) for c, t in df.dtypes]
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(sum((F.coalesce(x, F.lit(0)) for x in texts), F.lit(0)).cast("long")).alias("chars")).first()
+    return F.broadcast(df) if size["n"] <= SMALL and (size["chars"] or 0) <= SMALL_TEXT else df
 
 
 def quoted(name: str) -> str:
