@@ -7,7 +7,7 @@ ENTRIES = [("Job.Title", 1, "Data Analyst", "Datový analytik"), ("Job.Title", 3
 
 
 def _run(spark, values):
-    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(values)], "row_id long, `Job.Title` string, entry_id int")
+    df = spark.createDataFrame([(i, v, 0, "Praha") for i, v in enumerate(values)], "row_id long, `Job.Title` string, entry_id int, Location string")
     e = spark.createDataFrame(ENTRIES, "field string, entry_id long, name string, name_cs string")
     return {r["row_id"]: r["entry_id"] for r in canon.map_values(df, e, ["Job.Title"]).collect()}
 
@@ -34,3 +34,18 @@ def test_automaton_equals_brute_force(names, word, k):
     trie = canon.Trie([(i, n) for i, n in enumerate(names)])
     want = sorted((_distance(word, canon.fold(n)), i) for i, n in enumerate(names) if _distance(word, canon.fold(n)) <= k)
     assert trie.search(word, k) == want
+
+
+def test_places_are_read_from_the_table(spark):
+    values = ["Data Analyst Teplice", "Datový analytik Hradec Králové", "Teplice", "Barista Teplice", "Data Analyst Dolní Lhota", "Data Analyst Tepilce"]
+    df = spark.createDataFrame([(i, v, p) for i, (v, p) in enumerate(zip(values, ["Teplice", "Hradec Králové", "Data", None, "", "x"]))], "row_id long, `Job.Title` string, Location string")
+    e = spark.createDataFrame(ENTRIES, "field string, entry_id long, name string, name_cs string")
+    assert {r["row_id"]: r["entry_id"] for r in canon.map_values(df, e, ["Job.Title"]).collect()} == {0: 1, 1: 1, 2: 0, 3: 0, 4: 0, 5: 1}
+
+
+def test_growing_distance_gives_the_nearest():
+    trie = canon.Trie([(i, n, None) for i, n in enumerate(["data analyst", "data catalyst", "date analyst", "day analyst"])])
+    for word in ("dta analyst", "date analyts", "dat catalist", "xyz", "daa analyst"):
+        forms = canon.forms(word)
+        want = min((hit for f in forms for hit in trie.search(f, canon.reach(len(f)))), default=(0, 0))[1]
+        assert canon.best_entry(trie, word) == want
