@@ -24,15 +24,26 @@ def p1_rows_kept(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return _links(spark, d).where("matched").select("row_id_a", "row_id_b")
+    return _linked(spark, d).pairs().select("row_id_a", "row_id_b")
 
 
 def p6_confidence(spark: SparkSession, d: str) -> DataFrame:
-    return _links(spark, d)
+    """The matches with their confidence."""
+    return _linked(spark, d).pairs()
 
 
-def _links(spark: SparkSession, d: str) -> DataFrame:
-    return linkage.link(table(spark, d, "indeed_basic"), table(spark, d, "jobstack_basic"), table(spark, d, "canon_entries"))
+def p6_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every candidate pair of classes of equal rows, also those that don't match."""
+    return _linked(spark, d).classes()
+
+
+def p6_members(spark: SparkSession, d: str) -> DataFrame:
+    """The class of every row."""
+    return _linked(spark, d).members()
+
+
+def _linked(spark: SparkSession, d: str) -> linkage.Linked:
+    return linkage.Linked(table(spark, d, "indeed_basic"), table(spark, d, "jobstack_basic"), table(spark, d, "canon_entries"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +86,7 @@ def _scored(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_rows_kept, p6_found, p6_confidence, p7_found, p7_unmatched, p8_ids, p9_found, p9_items, p10_found, p10_scores, p10_rates)
+    for f in (p1_found, p1_rows_kept, p6_found, p6_confidence, p6_classes, p6_members, p7_found, p7_unmatched, p8_ids, p9_found, p9_items, p10_found, p10_scores, p10_rates)
 }
 #: these operators are learned or search texts; SQL can't express them
 ORACLES: dict[str, str] = {}
