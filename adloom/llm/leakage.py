@@ -1,20 +1,23 @@
 """Evaluation texts that leaked into the corpus, found by latent semantics.
 
-Both sides are cut into overlapping passages of words. TF-IDF runs over the
-words of the test items, with frequencies counted over all corpus passages; a
-distributed randomised SVD of the corpus passages and the items gives a latent
-space: each power round multiplies by the matrix and its transpose in one pass,
-block sums are added in the cluster, and only the words x rank matrix comes to
-the driver (its size is fixed by the item list). A passage whose cosine with an
-item's passage reaches the cut is a candidate; every candidate is then checked
-on the whole texts: the longest common subsequence must hold two fifths of the
+Every document is cut into words once. An inverted index of the words that few
+items hold drops the documents that lack the words which answer to an item; the
+check below would refuse them all, so none is lost. What is left is kept as word
+numbers and cut into overlapping passages like the items. TF-IDF over the items'
+words, with frequencies counted over all documents, and a distributed randomised
+SVD give a latent space: each power round multiplies by the matrix and its
+transpose in one pass, block sums are added in the cluster, and only the words x
+rank matrix comes to the driver (its size is fixed by the item list). A passage
+whose cosine with a passage of an item from the index reaches the cut is a
+candidate; around it the longest common subsequence must hold two fifths of the
 item's words, and enough of the words that answer to this item alone (names,
 figures) must be there, so that a shared turn of phrase or a standing
-instruction is no case.
+instruction is no case, however long the document is.
 
 Defined results: null, blank and wordless texts on either side give no pair;
 repeated documents and repeated items give a pair each; case, accents, marks,
-markup, quoting and line breaks don't matter; texts of any length are read whole.
+markup, quoting and line breaks don't matter; texts of any length are read whole;
+an item's words must stand within five times its length and a passage's.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adloom.llm.canon import reference
 from adloom.session import cut, spread
 
 #: words of a passage, and how far apart passages start
@@ -51,6 +55,8 @@ ANSWER = 0.25
 FEW = 2
 #: words of one block of the sum over passages
 BLOCK = 256
+#: how far around a candidate passage an item may stand, in lengths of the item
+AROUND = 2
 
 
 TAG = re.compile(r"</?[A-Za-z][^<>]{0,80}>")
@@ -72,21 +78,21 @@ def fold(text: str) -> list[str]:
     return WORD.findall(t.casefold())
 
 
-def passages(words: list[str]) -> list[list[str]]:
+def passages(words: list) -> list[list]:
     if len(words) <= PASSAGE:
         return [words] if words else []
     return [words[i : i + PASSAGE] for i in range(0, len(words) - STRIDE, STRIDE)]
 
 
-def places(item: list[str]) -> dict[str, int]:
+def places(item: list) -> dict:
     """Bit mask of each word's places."""
-    mask: dict[str, int] = defaultdict(int)
+    mask: dict = defaultdict(int)
     for i, w in enumerate(item):
         mask[w] |= 1 << i
     return dict(mask)
 
 
-def common(item: list[str], doc: list[str], mask: dict[str, int] | None = None) -> int:
+def common(item: list, doc: list, mask: dict | None = None) -> int:
     """Length of the longest common subsequence, bit-parallel."""
     mask = places(item) if mask is None else mask
     full = state = (1 << len(item)) - 1
@@ -101,37 +107,70 @@ class Items:
     """The test items, their words and passages; of fixed size."""
 
     def __init__(self, rows: list[tuple[int, str]]):
-        self.words = {i: fold(t) for i, t in rows if t}
-        self.words = {i: w for i, w in self.words.items() if w}
-        seen = Counter(w for ws in {tuple(x) for x in self.words.values()} for w in set(ws))
-        self.rare = {i: {w for w in ws if seen[w] <= FEW} for i, ws in self.words.items()}
+        words = {i: fold(t) for i, t in rows if t}
+        words = {i: w for i, w in words.items() if w}
+        seen = Counter(w for ws in {tuple(x) for x in words.values()} for w in set(ws))
         self.terms = {w: k for k, w in enumerate(sorted(seen))}
         self.few = np.array([seen[w] <= FEW for w in self.terms], bool)
+        self.words = {i: [self.terms[w] for w in ws] for i, ws in words.items()}
+        self.rare = {i: {t for t in ws if self.few[t]} for i, ws in self.words.items()}
         self.masks = {i: places(ws) for i, ws in self.words.items()}
-
-    def check(self, item: int, doc: list[str], have: set[str]) -> bool:
+        self.uses = {i: Counter(ws) for i, ws in self.words.items()}
+        # the inverted index: words that few items hold, and for items without such words all of theirs
+        self.posting: dict[int, list[int]] = defaultdict(list)
+        self.bare = [i for i, r in self.rare.items() if not r]
+        for i, r in self.rare.items():
+            for t in r:
+                self.posting[t].append(i)
+
+    def numbers(self, text: str) -> list[int]:
+        """A text as the numbers of its words, -1 for those of no item."""
+        get = self.terms.get
+        return [get(w, -1) for w in fold(text)]
+
+    def possible(self, have: set[int]) -> list[int]:
+        """Items that a text with these words can hold: those that ``check`` may pass."""
+        hits = Counter(i for t in have if t in self.posting for i in self.posting[t])
+        near = [i for i, n in hits.items() if n >= ANSWER * len(self.rare[i])] + self.bare
+        return [i for i in near if sum(n for t, n in self.uses[i].items() if t in have) >= SEQUENCE * len(self.words[i])]
+
+    def check(self, item: int, doc: list[int]) -> bool:
+        """Whether a stretch of text holds the item."""
         ws, rare = self.words[item], self.rare[item]
-        if rare and len(rare & have) < ANSWER * len(rare):
+        if rare and len(rare.intersection(doc)) < ANSWER * len(rare):
             return False
         return common(ws, doc, self.masks[item]) >= SEQUENCE * len(ws)
 
+    def around(self, item: int, doc: list[int], hits: list[int]) -> bool:
+        """``check`` around the passages that start at the given words."""
+        wide = AROUND * len(self.words[item])
+        lo = hi = -1
+        for h in sorted(hits):
+            if lo >= 0 and h - wide <= hi:
+                hi = h + PASSAGE + wide
+                continue
+            if lo >= 0 and self.check(item, doc[lo:hi]):
+                return True
+            lo, hi = max(0, h - wide), h + PASSAGE + wide
+        return lo >= 0 and self.check(item, doc[lo:hi])
+
 
 class Space:
     """TF-IDF rows over the items' words, and their latent projection."""
 
-    def __init__(self, terms: dict[str, int], df: np.ndarray, total: int, few: np.ndarray):
-        self.terms = terms
+    def __init__(self, df: np.ndarray, total: int, few: np.ndarray):
         total = max(total, 1)
         # copies of a leak raise the frequencies of its own words: every word keeps a weight
         most = np.where(few, OWN_SHARE, COMMON_SHARE) * total
         self.idf = np.log((1 + total) / (1 + np.minimum(df, most))).astype(np.float32)
 
-    def rows(self, many: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def rows(self, many: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, term, weight) of passages, rows of length 1; passages without
         terms have no entry."""
         r, c, v = [], [], []
         for k, ws in enumerate(many):
-            got = Counter([self.terms[w] for w in ws if w in self.terms])
+            got = Counter(ws)
+            got.pop(-1, None)
             if not got:
                 continue
             vals = [(t, (1 + math.log(n)) * float(self.idf[t])) for t, n in got.items()]
@@ -161,30 +200,8 @@ def add_transposed(z: np.ndarray, r: np.ndarray, c: np.ndarray, v: np.ndarray, y
         z[cs[starts]] += np.add.reduceat(y[r[order]] * v[order][:, None], starts, axis=0)
 
 
-def _frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.ndarray, int]:
-    """Passages that hold each item word, over the whole corpus."""
-
-    def count(batches):
-        for pdf in batches:
-            n, df = 0, Counter()
-            for t in pdf["text"]:
-                for p in passages(fold(t)):
-                    n += 1
-                    df.update([w for w in set(p) if w in terms])
-            yield pd.DataFrame({"term": [-1, *(terms[w] for w in df)], "n": [n, *df.values()]})
-
-    df = np.zeros(len(terms))
-    total = 0
-    for r in docs.mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        if r["term"] < 0:
-            total = r["n"]
-        else:
-            df[r["term"]] = r["n"]
-    return df, total
-
-
-def latent(sparse: DataFrame, own: tuple, n_own: int, terms: int, rank: int = RANK, seed: int = 7) -> np.ndarray:
-    """Leading right singular vectors (terms x rank) of all passages."""
+def latent(kept: DataFrame, space: Space, own: tuple, n_own: int, terms: int, rank: int = RANK, seed: int = 7) -> np.ndarray:
+    """Leading right singular vectors (terms x rank) of all kept passages."""
     width = min(rank + EXTRA, terms)
     q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((terms, width)))
     for _ in range(POWER + 1):
@@ -193,12 +210,9 @@ def latent(sparse: DataFrame, own: tuple, n_own: int, terms: int, rank: int = RA
         def multiply(batches, basis=basis):
             z = np.zeros_like(basis)
             for pdf in batches:
-                lengths = pdf["terms"].map(len).to_numpy()
-                if not lengths.sum():
-                    continue
-                r = np.repeat(np.arange(len(pdf)), lengths)
-                c, v = np.concatenate(pdf["terms"].to_numpy()).astype(np.int64), np.concatenate(pdf["weights"].to_numpy()).astype(np.float32)
-                add_transposed(z, r, c, v, times(r, c, v, basis, len(pdf)))
+                many = [p for ws in pdf["words"] for p in passages(ws.tolist())]
+                r, c, v = space.rows(many)
+                add_transposed(z, r, c, v, times(r, c, v, basis, len(many)))
             blocks = range(0, len(z), BLOCK)
             yield pd.DataFrame({"block": [b // BLOCK for b in blocks], "part": [z[b : b + BLOCK].tobytes() for b in blocks]})
 
@@ -208,7 +222,7 @@ def latent(sparse: DataFrame, own: tuple, n_own: int, terms: int, rank: int = RA
 
         z = np.zeros((terms, width))
         add_transposed(z, *own, times(*own, basis, n_own).astype(np.float64))
-        sums = sparse.mapInPandas(multiply, "block int, part binary").groupBy("block").applyInPandas(total, "block int, part binary")
+        sums = kept.select("words").mapInPandas(multiply, "block int, part binary").groupBy("block").applyInPandas(total, "block int, part binary")
         for row in sums.collect():  # terms x width numbers
             a = row["block"] * BLOCK
             z[a : a + BLOCK] += np.frombuffer(row["part"], np.float64).reshape(-1, width)
@@ -223,59 +237,65 @@ def find_leaks(documents: DataFrame, eval_items: DataFrame, ident: str = "doc_id
     """(doc_id, item_id) of each document that holds an item's passage."""
     spark = documents.sparkSession
     out = f"{ident} bigint, {item} bigint"
-    # the held-out list has a fixed size and travels with the tasks
-    items = Items([(r[item], r["text"]) for r in eval_items.select(item, "text").collect()])
+    # the held-out list travels with the tasks; its size is checked
+    items = Items(reference(eval_items.select(item, "text")))
     if not items.words:
         return spark.createDataFrame([], out)
     docs = spread(documents.select(F.col(f"`{ident}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), "doc_id").where(F.col("text").rlike(r"(?U)\w"))
-    df, total = _frequencies(docs, items.terms)
-    space = Space(items.terms, df, total, items.few)
-    shared = spark.sparkContext.broadcast((items, space))  # bounded by the item list
+    listed = spark.sparkContext.broadcast(items)
 
-    def build(batches):
-        _, sp = shared.value
+    def read(batches):
+        its = listed.value
+        df: Counter = Counter()
+        total = 0
         for pdf in batches:
-            many = [p for t in pdf["text"] for p in passages(fold(t))]
-            r, c, v = sp.rows(many)
-            edges = np.flatnonzero(np.diff(r)) + 1
-            if len(r):
-                yield pd.DataFrame({"terms": pd.Series([x.astype(np.int32) for x in np.split(c, edges)], dtype=object), "weights": pd.Series(np.split(v, edges), dtype=object)})
-
-    sparse = cut(docs.mapInPandas(build, "terms array<int>, weights array<float>"))
+            rows = []
+            for i, t in zip(pdf["doc_id"], pdf["text"]):
+                ws = its.numbers(t)
+                have = set(ws)
+                total += 1
+                df.update(have)
+                found = its.possible(have)
+                if found:
+                    rows.append((i, ws, found, None, None))
+            yield pd.DataFrame(rows, columns=["doc_id", "words", "items", "term", "n"])
+        df[-1] = total
+        yield pd.DataFrame([(None, None, None, t, n) for t, n in df.items()], columns=["doc_id", "words", "items", "term", "n"]).astype({"doc_id": "Int64", "term": "Int64", "n": "Int64"})
+
+    once = cut(docs.mapInPandas(read, "doc_id bigint, words array<int>, items array<bigint>, term bigint, n bigint"))
+    frequency = np.zeros(len(items.terms))
+    total = 0
+    for r in once.where("n is not null").groupBy("term").agg(F.sum("n").alias("n")).collect():  # one row a word of the items
+        if r["term"] < 0:
+            total = r["n"]
+        else:
+            frequency[r["term"]] = r["n"]
+    kept = once.where("words is not null").select("doc_id", "words", "items")
+    space = Space(frequency, total, items.few)
     own_passages = [(i, p) for i, ws in items.words.items() for p in passages(ws)]
     own = space.rows([p for _, p in own_passages])
-    basis = latent(sparse, own, len(own_passages), len(items.terms))
+    basis = latent(kept, space, own, len(own_passages), len(items.terms))
     targets = times(*own, basis, len(own_passages))
-    norms = np.linalg.norm(targets, axis=1, keepdims=True)
-    targets = targets / np.maximum(norms, 1e-6)
-    owners = np.array([i for i, _ in own_passages])
-    packed = spark.sparkContext.broadcast((basis, targets.T.copy(), owners))
+    targets = targets / np.maximum(np.linalg.norm(targets, axis=1, keepdims=True), 1e-6)
+    owned: dict[int, list[int]] = defaultdict(list)
+    for k, (i, _) in enumerate(own_passages):
+        owned[i].append(k)
+    packed = spark.sparkContext.broadcast((space, basis, targets, dict(owned)))  # words x rank numbers
 
     def search(batches):
-        its, sp = shared.value
-        v_k, goal, owner = packed.value
+        its = listed.value
+        sp, v_k, goals, of = packed.value
         for pdf in batches:
             hits = []
-            ids, texts = pdf["doc_id"].tolist(), pdf["text"].tolist()
-            for a in range(0, len(ids), 500):
-                words = [fold(t) for t in texts[a : a + 500]]
-                many, of = [], []
-                for k, ws in enumerate(words):
-                    for p in passages(ws):
-                        many.append(p)
-                        of.append(k)
-                r, c, v = sp.rows(many)
-                if not len(r):
-                    continue
-                live = np.unique(r)
-                x = times(np.searchsorted(live, r), c, v, v_k, len(live))
+            for ident_, ws, possible in zip(pdf["doc_id"], pdf["words"], pdf["items"]):
+                doc = ws.tolist()
+                many = passages(doc)
+                x = times(*sp.rows(many), v_k, len(many))
                 x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-6)
-                rows, cols = np.nonzero(x @ goal >= cosine)
-                pairs = {(of[live[i]], int(owner[j])) for i, j in zip(rows.tolist(), cols.tolist())}
-                have: dict[int, set[str]] = {}
-                for k, i in sorted(pairs):
-                    if its.check(i, words[k], have.setdefault(k, set(words[k]))):
-                        hits.append((ids[a + k], i))
+                for i in possible.tolist():
+                    near = np.flatnonzero((x @ goals[of[i]].T).max(axis=1) >= cosine)
+                    if len(near) and its.around(i, doc, (near * STRIDE).tolist()):
+                        hits.append((ident_, i))
             yield pd.DataFrame(hits, columns=[ident, item])
 
-    return docs.mapInPandas(search, out)
+    return kept.mapInPandas(search, out)
