@@ -9,7 +9,8 @@ words that fail are merged exactly, rank by rank.
 
 Defined results: null and empty texts give an empty list; blank texts have the
 tokens of their blanks; the strings of special tokens are ordinary text; lone
-surrogates are read as U+FFFD; texts of any length are encoded whole.
+surrogates are read as U+FFFD; texts of any length are encoded whole. A
+vocabulary that lacks a single byte is refused, as words could not be covered.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,8 @@ TOKENIZERS = env_path("ADLOOM_TOKENIZERS", "/opt/tokenizers")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: words kept in a worker's memory between batches
 MEMO = 400_000
+#: pairs of tokens whose compatibility is kept; more are settled anew
+PAIRS = 2_000_000
 #: a word longer than this isn't kept
 MEMO_LENGTH = 64
 
@@ -45,6 +49,8 @@ class Encoder:
             if line.strip():
                 token, rank = line.split()
                 self.ranks[base64.b64decode(token)] = int(rank)
+        if absent := [b for b in range(256) if bytes([b]) not in self.ranks]:
+            raise ValueError(f"{path} has no token for bytes {absent[:5]}")
         self.size = max(self.ranks.values()) + 1
         self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
@@ -103,6 +109,8 @@ class Encoder:
     def compatible(self, pairs: np.ndarray) -> np.ndarray:
         """Which pair keys (left * size + right) stand as they are; new ones
         are settled by exact merging once."""
+        if len(self.keys) > PAIRS:
+            self.keys, self.fits = np.empty(0, np.int64), np.empty(0, bool)
         unique = np.unique(pairs)
         new = np.setdiff1d(unique, self.keys, assume_unique=True)
         if len(new):
@@ -149,10 +157,10 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
+def encoder(path: str, shipped: bool = False) -> Encoder:
+    """One encoder per worker process and file; a shipped file lies where Spark put it."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(SparkFiles.get(Path(path).name) if shipped else path)
     return _encoders[path]
 
 
@@ -160,9 +168,13 @@ def encode_corpus(df: DataFrame, ident: str = "doc_id", text: str = "text", toke
     """(ident, ids) of every row: a narrow pass, nothing is shuffled beyond an
     even spread of inputs that come in few splits."""
     path = f"{folder}/{tokenizer}.tiktoken"
+    # executors need no folder of their own: the driver's file goes with the job
+    shipped = Path(path).exists()
+    if shipped:
+        df.sparkSession.sparkContext.addFile(path)
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, shipped)
         for pdf in batches:
             yield pd.DataFrame({"i": pdf["i"], "ids": enc.encode([t if isinstance(t, str) else None for t in pdf["t"]])})
 

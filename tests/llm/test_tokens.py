@@ -35,3 +35,17 @@ def test_corpus(spark):
 def test_failing_words_are_merged():
     words = ["zzxqj", "ěščřžýáíé", "aaaaaaaab", "́́"]
     assert ENC.encode_words(words) == [_ref(w) for w in words]
+
+
+def test_pairs_stay_bounded(monkeypatch):
+    enc = tokens.Encoder(f"{tokens.TOKENIZERS}/byte_bpe_50k.tiktoken")
+    monkeypatch.setattr(tokens, "PAIRS", 10)
+    for text in ("straightforwardness unbelievably", "counterintuitively", "zzxqj ěščřžýáíé", "misinterpretation"):
+        assert enc.encode([text]) == [_ref(text)]
+    assert len(enc.keys) < 40
+
+
+def test_a_vocabulary_without_a_byte_is_refused(tmp_path):
+    (tmp_path / "x.tiktoken").write_text("YQ== 0\n")
+    with pytest.raises(ValueError):
+        tokens.Encoder(str(tmp_path / "x.tiktoken"))
