@@ -48,7 +48,8 @@ LOOKALIKES = str.maketrans(
 )
 LEET = str.maketrans("0134578@$!€+", "oieastbasiet")
 # Stems of coarse words (en, cs, de, fr); one feature that the
-# labels weigh, so that what is learned in one language helps in the others.
+# labels weigh, so that what is learned in one language helps in the others. With
+# thousands of labels it changes nothing, with hundreds it saves some errors (README).
 COARSE = (
     "asshole bastard bitch idiot imbecil cretin moron scum vermin parasit subhuman filth whore slut fuck cunt cock tits pussy swine loser trash coward"
     " bootlick worthless pathetic horny kreten debil svin prase krav zmet smejd hovad dement spin dobytek paraz havet podradn kurv zmrd curak pich suka"
@@ -64,10 +65,11 @@ END = re.compile(r"(?<=[.!?…])\s+|\n+|[•·|]+|\s{2,}")
 
 def plain(text: str) -> str:
     """Disguises of whole texts undone: case, accents, look-alikes, gaps."""
-    t = ZERO_WIDTH.sub("", unicodedata.normalize("NFKC", text))
-    if re.search("[\u0370-\u04ff]", t):
-        t = t.translate(LOOKALIKES)
+    t = text
     if not t.isascii():
+        t = ZERO_WIDTH.sub("", unicodedata.normalize("NFKC", t))
+        if re.search("[\u0370-\u04ff]", t):
+            t = t.translate(LOOKALIKES)
         t = MARKS.sub("", unicodedata.normalize("NFKD", t))
     t = t.casefold()
     return PARTED.sub(lambda m: re.sub(r"[^\w]|_", "", m.group(0)), t)
@@ -223,8 +225,18 @@ class Scorer:
         self.weights, self.bias = weights, bias
         self.words: dict[str, float] = {}
         self.pairs: dict[tuple[str, str], float] = {}
-
-    def sentence(self, s: str) -> float:
+        self.known: dict[str, float | None] = {}
+
+    def sentence(self, s: str) -> float | None:
+        """Probability that a sentence offends, None if it has no letters;
+        sentences that recur in a corpus are scored once."""
+        if s not in self.known:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            self.known[s] = self._sentence(s) if re.search(r"[^\W\d_]", s) else None
+        return self.known[s]
+
+    def _sentence(self, s: str) -> float:
         z, before = self.bias, None
         for w in tokens(s):
             x = self.words.get(w)
@@ -247,9 +259,9 @@ class Scorer:
         """Noisy-or of the sentences, and the sentences that offend."""
         clean, bad = 1.0, []
         for s in sentences(text or ""):
-            if not re.search(r"[^\W\d_]", s):
-                continue
             p = self.sentence(s)
+            if p is None:
+                continue
             clean *= 1 - p
             if p >= cut:
                 bad.append(s)
@@ -269,10 +281,11 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tupl
     return *fit(texts, ys), threshold(texts, ys)
 
 
-def score_documents(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def score_documents(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, model: tuple[np.ndarray, float, float] | None = None) -> DataFrame:
     """(doc_id, source, score, abusive, offending): every document's score,
-    whether it reaches the cut, and the sentences that offend."""
-    weights, bias, cut = train(documents, labels, sample)
+    whether it reaches the cut, and the sentences that offend; ``model`` is what
+    ``train`` gave, if it was trained before."""
+    weights, bias, cut = model or train(documents, labels, sample)
     packed = documents.sparkSession.sparkContext.broadcast((weights, bias))  # 2^17 weights, whatever the corpus
 
     def run(batches):
