@@ -205,22 +205,34 @@ def default_exemplars() -> list[tuple[str, tuple[str, ...]]]:
 
 
 class Index:
-    """Inverted index of the exemplars with TF-IDF weights."""
+    """Inverted index of the exemplars with TF-IDF weights.
+
+    An exemplar is listed under its heaviest words only, so many that a window
+    without any of them cannot reach the coverage asked for: common words
+    retrieve nothing, and nothing is missed."""
 
     def __init__(self, df: dict[str, int], total: int, exemplars: list[tuple[str, tuple[str, ...]]] | None = None):
         self.total, self.df = max(total, 1), df
+        self.usual = math.log(1 + self.total)  # of a word of no exemplar
         self.exemplars: list[tuple[str, dict[str, float], float]] = []
         self.posting: dict[str, list[int]] = defaultdict(list)
         self.memo: dict[str, list[tuple[str, float]]] = {}
         self.known: dict[str, str | None] = {}
+        self.weight = {w: self.idf(w) for _, ws in exemplars or default_exemplars() for w in ws}
         for kind, ws in exemplars or default_exemplars():
-            weight = {w: self.idf(w) for w in ws}
-            for w in weight:
+            weight = {w: self.weight[w] for w in ws}
+            mass = sum(weight.values())
+            least = {"filler": 0.0, "about": TALK_COVERAGE}.get(kind, COVERAGE) * mass
+            left = mass
+            for w in sorted(weight, key=lambda w: (-weight[w], w)):
+                if left < least - 1e-6:
+                    break
                 self.posting[w].append(len(self.exemplars))
-            self.exemplars.append((kind, weight, sum(weight.values())))
+                left -= weight[w]
+            self.exemplars.append((kind, weight, mass))
         # exemplar words by length, for slips
         self.by_length: dict[int, list[str]] = defaultdict(list)
-        for w in self.posting:
+        for w in self.weight:
             if not w.startswith("§"):
                 self.by_length[len(w)].append(w)
 
@@ -259,25 +271,27 @@ class Index:
             found = self.known[window] = self._judge(window, False)
         return found
 
+    def held(self, have: set[str]) -> dict[str, float]:
+        """Exemplar words that a window holds, and how much each counts."""
+        out = {w: 1.0 for w in have if w in self.weight}
+        memo = self.memo
+        for h in have:
+            for w, part in memo[h] if h in memo else self.near(h):
+                if part > out.get(w, 0.0):
+                    out[w] = part
+        return out
+
     def _judge(self, window: str, alone: bool) -> str | None:
         ws = words(window)
-        have, hits = set(ws) | shapes(window, ws, alone), defaultdict(float)
-        held = {w: 1.0 for w in have if w in self.posting}
-        for h in have:
-            for w, part in self.near(h):
-                held[w] = max(held.get(w, 0.0), part)
-        for w, part in held.items():
-            x = part * self.idf(w)
-            for k in self.posting[w]:
-                hits[k] += x
+        held = self.held(set(ws) | shapes(window, ws, alone))
         best: tuple[float, str] = (0.0, "")
         about, slot = 0.0, False
-        mass = sum(map(self.idf, ws))
-        for k, got in hits.items():
+        for k in {k for w in held for k in self.posting.get(w, ())}:
             kind, weight, total = self.exemplars[k]
             if alone and ALONE not in weight:
                 continue  # a field as a whole is judged by its windows else
-            share = min(1.0, got / total + 1e-9)  # sums differ in their last digits
+            # sums differ in their last digits
+            share = min(1.0, sum(x * held[w] for w, x in weight.items() if w in held) / total + 1e-9)
             if kind == "about":
                 about = max(about, share)
             elif kind == "slot":
@@ -286,10 +300,12 @@ class Index:
                 # a field's only word counts as a whole
                 if share >= 1 - 0.1 * (len(max(weight, key=len)) > 6) and len(ws) <= len(weight):
                     best = max(best, (1.0, kind))
-            elif kind == "filler" and len(weight) > 1 or kind == "filler" and not next(iter(weight)).startswith("§"):
-                share = sum(self.idf(w) for w in ws if w in weight) / mass if mass else 0.0
-                if share >= FILLER_COVERAGE and len(ws) >= 3:
-                    best = max(best, (share, kind))
+            elif kind == "filler" and not next(iter(weight)).startswith("§"):
+                if len(ws) >= 3:
+                    mass = sum(0.5 if w.isdigit() else self.weight.get(w, self.usual) for w in ws)
+                    share = sum(weight[w] for w in ws if w in weight) / mass
+                    if share >= FILLER_COVERAGE:
+                        best = max(best, (share, kind))
             elif share >= COVERAGE and (JOINT not in window or self.close(ws, weight, total)):
                 best = max(best, (share, kind))
         # a slot is all of its exemplar's weight, so less of a sentence about slots clears it
@@ -297,7 +313,6 @@ class Index:
             return "slot"
         return best[1] if best[0] and about < max(best[0], COVERAGE) else None
 
-
     def close(self, ws: list[str], weight: dict[str, float], total: float) -> bool:
         """Whether the exemplar's words stand together: within half as many words again."""
         part = [max((weight[w] * x for w, x in ((h, 1.0), *self.near(h)) if w in weight), default=0.0) for h in ws]
@@ -332,6 +347,8 @@ def shapes(window: str, ws: list[str], alone: bool) -> set[str]:
 def mashed(ws: list[str]) -> bool:
     """Keys struck at random: only home-row letters, hard to pronounce."""
     longest = max(ws, key=len)
+    if not set(longest) <= HOME_ROW:
+        return False
     struck = [w for w in ws if set(w) <= HOME_ROW]
     if len("".join(struck)) < 8 or len("".join(struck)) < 0.7 * len("".join(ws)) or not set(longest) <= HOME_ROW:
         return False

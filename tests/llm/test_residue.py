@@ -76,15 +76,13 @@ def test_index_finds_what_all_exemplars_would():
 
     rng = random.Random(5)
     index = residue.Index({"page": 30, "the": 80, "server": 4}, 400)
-    vocabulary = [w for w in index.posting if not w.startswith("§")] + ["data", "analyst", "plan"]
-    for _ in range(400):
-        ws = [rng.choice(vocabulary) for _ in range(rng.randint(1, 9))]
+    vocabulary = [w for w in index.weight if not w.startswith("§")] + ["data", "analyst", "plan"]
+    for _ in range(600):
+        ws = list(rng.choice(index.exemplars)[1]) if rng.random() < 0.5 else []
+        ws = [w for w in ws if rng.random() < 0.9 and not w.startswith("§")] + [rng.choice(vocabulary) for _ in range(rng.randint(1, 6))]
         ws = [w[:2] + w[3:] if len(w) > 5 and rng.random() < 0.2 else w for w in ws]
-        held = {}
-        for h in set(ws):
-            for w, part in ((h, 1.0), *index.near(h)):
-                held[w] = max(held.get(w, 0.0), part)
-        every = {k for k, (_, weight, total) in enumerate(index.exemplars) if sum(x * held.get(w, 0.0) for w, x in weight.items()) / total >= residue.COVERAGE}
+        held = index.held(set(ws))
+        every = {k for k, (kind, weight, total) in enumerate(index.exemplars) if sum(x * held.get(w, 0.0) for w, x in weight.items()) / total >= residue.COVERAGE}
         assert every <= {k for w in held for k in index.posting.get(w, ())}
 
 
