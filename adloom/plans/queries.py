@@ -289,18 +289,24 @@ def routed_counts(spark, d):
 
 
 # --- rule engines -----------------------------------------------------------------------
+def _masked_sql(t: str) -> str:
+    for pattern, keep in rules.MASKS:
+        t = f"regexp_replace({t}, {quote(pattern)}, {quote(keep.replace('$', chr(92)))}, 'g')"
+    return t
+
+
 def _rule_sql(column: str, source: str) -> str:
     hits = ", ".join(
-        f"CASE WHEN regexp_matches(t, {quote(r.pattern)})" + (f" AND NOT regexp_matches(t, {quote(r.unless)})" if r.unless else "")
-        + f" THEN {{'rank': {-r.score}, 'start': strpos(t, regexp_extract(t, {quote(r.pattern)})), 'length': -length(regexp_extract(t, {quote(r.pattern)})), 'position': {k}, 'label': {quote(r.label)}, 'signal': {quote(r.signal)}}} END"
-        for k, r in enumerate(rules.ROOTS)
+        f"CASE WHEN regexp_matches(k, {quote(r.pattern)}) THEN {{'rank': {r.ground}, 'start': strpos(k, regexp_extract(k, {quote(r.pattern)})),"
+        f" 'length': -length(regexp_extract(k, {quote(r.pattern)})), 'position': {n}, 'label': {quote(r.label)}, 'signal': {quote(r.signal)}}} END"
+        for n, r in enumerate(rules.ROOTS)
     )
     exact = "CASE " + " ".join(f"WHEN t = {quote(k)} THEN {quote(v)}" for k, v in rules.OVERRIDES.items()) + " END"
-    steps = "CASE " + " ".join(f"WHEN -h[1].rank >= {bar} THEN {v}" for bar, v in rules.STEPS) + " ELSE 0.86 END"
-    return f"""WITH s AS (SELECT DISTINCT {norm_sql(column)} AS t FROM {source}),
-m AS (SELECT t, {exact} AS ex, list_sort(list_filter([{hits}], lambda x: x IS NOT NULL)) AS h FROM s), o AS (SELECT *, list_filter(h, lambda x: x.label <> h[1].label) AS r FROM m)
+    sure = "CASE " + " ".join(f"WHEN h[1].rank = {k} THEN {v}" for k, (_, v) in enumerate(rules.GROUNDS)) + " END"
+    return f"""WITH s AS (SELECT DISTINCT {norm_sql(column)} AS t FROM {source}), x AS (SELECT t, {_masked_sql('t')} AS k FROM s),
+m AS (SELECT t, {exact} AS ex, list_sort(list_filter([{hits}], lambda x: x IS NOT NULL)) AS h FROM x), o AS (SELECT *, list_filter(h, lambda x: x.label <> h[1].label) AS r FROM m)
 SELECT t AS title, CASE WHEN t = '' THEN 'Other' WHEN ex IS NOT NULL THEN ex WHEN len(h) > 0 THEN h[1].label ELSE 'Other' END AS root,
-CAST(CASE WHEN t = '' THEN 0.0 WHEN ex IS NOT NULL THEN 1.0 WHEN len(h) > 0 THEN CASE WHEN len(r) > 0 AND (-h[1].rank) - (-r[1].rank) <= 20 THEN greatest(0.7, round({steps} - 0.1, 2)) ELSE {steps} END ELSE 0.25 END AS DOUBLE) AS confidence,
+CAST(CASE WHEN t = '' THEN 0.0 WHEN ex IS NOT NULL THEN 1.0 WHEN len(h) > 0 THEN CASE WHEN len(r) > 0 AND r[1].rank = h[1].rank THEN round({sure} - {rules.RIVAL}, 2) ELSE {sure} END ELSE {rules.UNCLASSIFIED} END AS DOUBLE) AS confidence,
 CASE WHEN t = '' OR ex IS NOT NULL OR len(h) = 0 THEN '' ELSE h[1].signal END AS signal FROM o"""
 
 
@@ -323,28 +329,44 @@ def title_tags(spark, d):
     return titles.select("title", F.array_join(rules.tags(t, rules.DOMAINS), ", ").alias("domains"), F.array_join(rules.tags(t, rules.LEVELS), ", ").alias("levels"))
 
 
-@query(f"""SELECT doc_id, {_tags_sql(_TOOL_RULES, "lower(coalesce(text, ''))")} AS tools FROM documents""")
+_tool_sql = lambda c: "array_to_string(list_filter([" + ", ".join(f"CASE WHEN regexp_matches({c if t in rules.CASED else f'lower({c})'}, {quote(p)}) THEN {quote(t)} END" for t, p in _TOOL_RULES) + "], lambda x: x IS NOT NULL), ', ')"
+
+
+@query(f"""SELECT doc_id, {_tool_sql("coalesce(text, '')")} AS tools FROM documents""")
 def document_tools(spark, d):
     """Tools named in each document."""
-    return table(spark, d, "documents").select("doc_id", F.array_join(rules.tags(F.lower(F.coalesce(F.col("text"), F.lit(""))), _TOOL_RULES), ", ").alias("tools"))
+    return table(spark, d, "documents").select("doc_id", F.array_join(rules.tools(F.coalesce(F.col("text"), F.lit(""))), ", ").alias("tools"))
 
 
-def _topic_sql(t: str) -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches({t}, {quote(p)}) THEN {quote(v)}" for v, p in rules.TOPICS) + " ELSE 'General' END"
+def _subtype_sql(t: str, root: str) -> str:
+    """First subtype of a root by a list of conditions in order."""
+    pick = " ".join(f"WHEN {root} = {quote(r)} AND regexp_matches({t}, {quote(p)}) THEN {quote(v)}" for r, pairs in rules.SUBTYPES.items() for v, p in pairs)
+    rest = " ".join(f"WHEN {root} = {quote(r)} THEN {quote(v)}" for r, v in rules.GENERAL.items())
+    return f"CASE {pick} {rest} WHEN {root} = 'Other' THEN 'Other' ELSE 'General ' || {root} END"
 
 
-@query(f"""SELECT t AS title, {_topic_sql('t')} AS topic FROM (SELECT DISTINCT {norm_sql('"Job Title"')} AS t FROM jobstack_basic)""")
+@query(f"""SELECT title, root, {_subtype_sql("title", "root")} AS subtype FROM ({_rule_sql('"Job Title"', "jobstack_basic")})""")
 def title_topics(spark, d):
+    """Root and subtype of each distinct normalised title."""
     titles = table(spark, d, "jobstack_basic").select(text.normalise(F.col("`Job Title`")).alias("title")).distinct()
-    return titles.select("title", rules.first_match(F.col("title"), rules.TOPICS, "General").alias("topic"))
+    got = rules.classify(titles, "title", rules.ROOTS, rules.OVERRIDES)
+    return got.select("title", "root", rules.subtype(F.col("title"), F.col("root")).alias("subtype"))
 
 
-@query()
+_NAMES = " ".join(f"WHEN root = {quote(v)} THEN list_filter(parts, lambda p: regexp_matches(p, {quote('|'.join(r.pattern for r in rules.ROOTS if r.label == v and rules.GROUNDS[r.ground][0] != 'function'))}))" for v in sorted({r.label for r in rules.ROOTS}))
+
+
+@query(f"""WITH o AS (SELECT min_by({word_sql('"Job Title"')}, row_id) AS value FROM indeed_basic WHERE {word_sql('"Job Title"')} <> '' GROUP BY lower({word_sql('"Job Title"')})),
+r AS (SELECT value, {norm_sql("value")} AS n FROM o), c AS ({_rule_sql('"Job Title"', "indeed_basic")}),
+p AS (SELECT value, root, {_subtype_sql("n", "root")} AS subtype, list_transform(regexp_split_to_array(value, '\\s/\\s'), lambda x: {norm_sql("x")}) AS parts FROM r JOIN c ON c.title = r.n),
+k AS (SELECT value, root, subtype, CASE {_NAMES} ELSE [] END AS named FROM p),
+l AS (SELECT value, root, subtype, named, list_filter(list_transform(named, lambda x: {_subtype_sql("x", "root")}), lambda v: v <> subtype AND v NOT LIKE 'General %' AND v <> 'Executive/General Manager') AS others FROM k)
+SELECT value, root, subtype, CASE WHEN len(named) > 1 THEN coalesce(others[1], '') ELSE '' END AS secondary FROM l""")
 def title_subtypes(spark, d):
     """Root, subtype and second subtype of every distinct title as written."""
     once = T.distinct_spelling(table(spark, d, "indeed_basic"), "Job Title", "row_id").select("value")
     got = rules.classify(once, "value", rules.ROOTS, rules.OVERRIDES)
-    return got.select("value", "root", rules.subtype(text.normalise(F.col("value")), F.col("root"), rules.TOPICS).alias("subtype"), rules.secondary(F.col("value"), F.col("root"), rules.TOPICS).alias("secondary"), "alternatives")
+    return got.select("value", "root", rules.subtype(text.normalise(F.col("value")), F.col("root")).alias("subtype"), rules.secondary(F.col("value"), F.col("root")).alias("secondary"))
 
 
 # --- evidence ---------------------------------------------------------------------------
