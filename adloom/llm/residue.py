@@ -6,7 +6,7 @@ a window retrieves the exemplars that share a word with it, exactly or but for
 slips, and is scored by TF-IDF containment: the share of an exemplar's weight
 that the window holds (for filler: the share of the window's weight that the
 exemplar holds), with words one or two slips apart counting a little less.
-Document frequencies are counted over all windows of all fields. The exemplar
+Document frequencies are counted over all sentences of all fields. The exemplar
 with the highest coverage decides.
 
 What has a shape rather than a wording is read as a word of its own: an
@@ -44,6 +44,8 @@ TALK_COVERAGE = 0.55
 FILLER_COVERAGE = 0.8
 #: words of either side in a window across the end of a sentence; no exemplar is longer
 REACH = 14
+#: kinds of residue that a sentence's end may cut in two
+ACROSS = ("notice", "error", "unfilled")
 #: words of a part that may be a page's frame ("Home | Jobs | Help")
 FRAME = 4
 #: words and windows whose judgement is kept in a worker's memory
@@ -160,14 +162,20 @@ def plain(text: str) -> str:
     return SHORT_FORMS.sub(" ", t)
 
 
+def sentences(text: str) -> list[str]:
+    return [p.strip() for p in END.split(plain(text)) if p and p.strip()]
+
+
+def across(a: str, b: str) -> str:
+    """What stands around the end of a sentence: as wide as any exemplar, so one
+    that is cut in two is in it."""
+    return f"{' '.join(a.split()[-REACH:])}{JOINT}{' '.join(b.split()[:REACH])}"
+
+
 def windows(text: str) -> list[str]:
-    """Passage windows: sentences, and what stands around the end of each. The
-    latter are as wide as any exemplar, so one that is cut in two is in one of them."""
-    parts = [p.strip() for p in END.split(plain(text)) if p and p.strip()]
-    out = list(parts)
-    for a, b in zip(parts, parts[1:]):
-        out.append(f"{' '.join(a.split()[-REACH:])}{JOINT}{' '.join(b.split()[:REACH])}")
-    return out
+    """Passage windows: sentences, and what stands around the end of each."""
+    parts = sentences(text)
+    return parts + [across(a, b) for a, b in zip(parts, parts[1:])]
 
 
 def words(window: str) -> list[str]:
@@ -217,12 +225,12 @@ class Index:
         self.exemplars: list[tuple[str, dict[str, float], float]] = []
         self.posting: dict[str, list[int]] = defaultdict(list)
         self.memo: dict[str, list[tuple[str, float]]] = {}
-        self.known: dict[str, str | None] = {}
+        self.known: dict[str, tuple[str | None, bool]] = {}
         self.weight = {w: self.idf(w) for _, ws in exemplars or default_exemplars() for w in ws}
         for kind, ws in exemplars or default_exemplars():
             weight = {w: self.weight[w] for w in ws}
             mass = sum(weight.values())
-            least = {"filler": 0.0, "about": TALK_COVERAGE}.get(kind, COVERAGE) * mass
+            least = {"filler": 0.0 if ALONE not in weight else COVERAGE, "about": TALK_COVERAGE}.get(kind, COVERAGE) * mass
             left = mass
             for w in sorted(weight, key=lambda w: (-weight[w], w)):
                 if left < least - 1e-6:
@@ -262,10 +270,12 @@ class Index:
     def judge(self, window: str, alone: bool = False) -> str | None:
         """Kind of residue that a window is, or None; ``alone`` says that the
         field holds nothing else but frame."""
-        if alone:
-            return self._judge(window, True)
-        found = self.known.get(window, "")
-        if found == "":
+        return self._judge(window, True)[0] if alone else self.retrieve(window)[0]
+
+    def retrieve(self, window: str) -> tuple[str | None, bool]:
+        """(kind, whether an exemplar was retrieved that may go on in the next sentence)."""
+        found = self.known.get(window)
+        if found is None:
             if len(self.known) >= MEMO:
                 self.known.clear()
             found = self.known[window] = self._judge(window, False)
@@ -281,12 +291,13 @@ class Index:
                     out[w] = part
         return out
 
-    def _judge(self, window: str, alone: bool) -> str | None:
+    def _judge(self, window: str, alone: bool) -> tuple[str | None, bool]:
         ws = words(window)
         held = self.held(set(ws) | shapes(window, ws, alone))
         best: tuple[float, str] = (0.0, "")
         about, slot = 0.0, False
-        for k in {k for w in held for k in self.posting.get(w, ())}:
+        listed = {k for w in held for k in self.posting.get(w, ())}
+        for k in listed:
             kind, weight, total = self.exemplars[k]
             if alone and ALONE not in weight:
                 continue  # a field as a whole is judged by its windows else
@@ -310,8 +321,8 @@ class Index:
                 best = max(best, (share, kind))
         # a slot is all of its exemplar's weight, so less of a sentence about slots clears it
         if slot and about < TALK_COVERAGE:
-            return "slot"
-        return best[1] if best[0] and about < max(best[0], COVERAGE) else None
+            return "slot", True
+        return best[1] if best[0] and about < max(best[0], COVERAGE) else None, any(self.exemplars[k][0] in ACROSS for k in listed)
 
     def close(self, ws: list[str], weight: dict[str, float], total: float) -> bool:
         """Whether the exemplar's words stand together: within half as many words again."""
@@ -373,8 +384,16 @@ def judge_field(index: Index, text: str | None) -> str | None:
     for p in alone(text) if len(text) < 400 or "|" in text else ():
         if (kind := index.judge(p, True)) is not None:
             return kind
-    for w in windows(text):
-        if (kind := index.judge(w)) is not None:
+    parts = sentences(text)
+    listed = []
+    for p in parts:
+        kind, some = index.retrieve(p)
+        if kind is not None:
+            return kind
+        listed.append(some)
+    for a, b, x, y in zip(parts, parts[1:], listed, listed[1:]):
+        # an exemplar that both hold in part is retrieved by one of them
+        if (x or y) and (kind := index.judge(across(a, b))) is not None:
             return kind
     return None
 
@@ -388,7 +407,7 @@ def _frequencies(cells: DataFrame, vocabulary: frozenset[str]) -> tuple[dict[str
         seen: Counter = Counter()
         for pdf in batches:
             for t in pdf["text"]:
-                for w in windows(t):
+                for w in sentences(t):
                     hit = known.get(w)
                     if hit is None:
                         if len(known) >= MEMO:
