@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: scheme, host, path, query of a URL
 PARTS = r"^([a-zA-Z][a-zA-Z0-9+.\-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
@@ -64,3 +65,15 @@ def hash_id(url: Column, prefix: str, places: int = 4) -> Column:
 def plan_signature(urls: Column) -> Column:
     """Hash of an ordered list of URLs."""
     return F.sha2(F.array_join(urls, "\n"), 256)
+
+
+def unique_ids(df: DataFrame, url: str, prefix: str, places: int = 4) -> DataFrame:
+    """(url, id) of each distinct address: the hashed slot, and for addresses
+    that meet in a slot a number by the order of their hashes. The same set of
+    addresses gets the same ids whatever the order of the rows."""
+    one = df.select(F.col(f"`{url}`").alias("url")).where(F.col("url").isNotNull()).distinct().withColumn("_s", F.sha2("url", 256))
+    slot = F.conv(F.substring("_s", 1, 8), 16, 10).cast("long") % (10**places)
+    n = F.row_number().over(Window.partitionBy("_slot").orderBy("_s"))
+    return one.withColumn("_slot", slot).withColumn("_n", n).select(
+        "url", F.concat(F.lit(prefix), F.lpad(F.col("_slot").cast("string"), places, "0"), F.when(F.col("_n") > 1, F.concat(F.lit("_"), F.col("_n").cast("string"))).otherwise("")).alias("id")
+    )

@@ -1,140 +1,264 @@
 """Evidence extractors: a category and the text that shows it.
 
 Each extractor is a cascade over the listed fields and returns
-struct(value, evidence); everything stays in JVM expressions.
+struct(value, evidence); everything stays in JVM expressions. Fields come as
+``Field``: a name, the cleaned text and the folded one, computed once per row
+(see ``with_fields``). Patterns run on folded text and avoid look-around, so
+that they mean the same in any regex dialect.
+
+Defined results: null and blank fields say nothing; a text of any length is
+read whole; mentions of a skill within ``NEAR`` characters share their context.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from dataclasses import dataclass
 
-from adloom.functions.text import clean, fold, join_unique, snippet, split_multi
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-# Words that make a skill wanted or merely welcome.
-PREFERRED = r"nice to have|a plus|advantage|preferabl|preferred|ideally|bonus|vyhodou|idealne|vitan|von vorteil|idealerweise|gern auch|un plus|apprecie"
-REQUIRED = r"requir|must|mandatory|need|expect|necessary|nutn|vyzadujeme|potrebujeme|ocekavame|pozadujeme|erforderlich|erwarten|attendue|exige|souhaitee"
+from adloom.functions.text import clean, field_evidence, fold, join_unique, snippet
+
+#: characters around a mention that may say how much it is wanted
+NEAR = 110
+
+# Words of the extractors.
+CZECH = r"(?:czech|cestin[a-z]*|cesk(?:y|eho|em) jazyk[a-z]*)"
+WELCOME = r"bonus|nice to have|a plus|advantage|vyhodou|vitan|von vorteil"
+WAIVED = rf"{CZECH}[^.!?]{{0,80}}(?:not (?:required|needed|necessary|mandatory)|isn.?t required|neni (?:podminkou|nutn[a-z]+|treba))|not (?:required|mandatory)[^.!?]{{0,80}}{CZECH}"
+CZECH_WELCOME = rf"{CZECH}[^.!?]{{0,80}}(?:{WELCOME})"
+CZECH_REQUIRED = rf"(?:fluent|native) czech|{CZECH}[^.!?]{{0,50}}(?:required|mandatory|needed|podminkou|nutn[a-z]+|pozadov)|(?:required|mandatory)[^.!?]{{0,50}}{CZECH}|znalost (?:cestiny|ceskeho jazyka)"
+SPOKEN = r"(?:language|speak|fluent|communicative|knowledge|uroven|mluvi|jazyk)"
+CZECH_SPOKEN = rf"{CZECH}[^.!?]{{0,55}}{SPOKEN}|{SPOKEN}[^.!?]{{0,55}}{CZECH}"
+ENGLISH_LISTED = r"(?:^|[^a-z])(?:en|english|anglicky|anglictina)(?:$|[^a-z])"
+ENGLISH_WANTED = r"fluent english|english[^.!?]{0,60}(?:required|mandatory|proficien|working|communicative|advanced|intermediate|daily)|(?:required|mandatory|proficien)[^.!?]{0,60}english|anglictin[a-z]*[^.!?]{0,60}(?:plynul|pokrocil|komunikativ|urovn|denne|nutn)|znalost anglictiny"
+PREFERRED = r"nice to have|advantage|preferr|preferab|bonus|a plus|ideally|idealne|vyhodou|vitan|neni podmink|not (?:a )?requirement|not required|von vorteil|apprecie"
+REQUIRED = r"must|requir|proficien|strong|solid|expect|experience with|knowledge of|need|znalost|zvlad|potreb|pozad|nutn|erforderlich|souhaitee|exige"
+UNIT = r"(?:years?|yrs?|roky?|roku|let)"
+RANGE = rf"(\d{{1,2}}) ?[-–—] ?(\d{{1,2}}) ?{UNIT} (?:of )?(?:experience|praxe|zkusenosti)"
+MINIMA = (
+    rf"(\d{{1,2}}) ?\+ ?{UNIT}", r"(\d{1,2}) ?(?:years?|yrs?) (?:of )?(?:relevant |professional |commercial |hands.on )?experience", r"(\d{1,2}) ?(?:roky?|roku|let) (?:praxe|zkusenosti)",
+    r"(?:at least|minimum|minimum of|min\.?) ?(\d{1,2}) ?(?:years?|yrs?)[^.!?]{0,45}(?:experience|practice)", r"(?:alespon|minimalne|min\.?) ?(\d{1,2}) ?(?:roky?|roku|let)[^.!?]{0,45}(?:praxe|zkusenosti)",
+)
+MOST_YEARS = 15
+LEVELS = (("JUNIOR", r"\b(?:junior|entry.?level|graduate|trainee|absolvent)\b"), ("MID", r"\b(?:medior|mid.?level|intermediate)\b"), ("SENIOR", r"\b(?:senior|lead|principal|staff)\b"))
+STATUSES = ("OPEN", "LIKELY_OPEN", "CLOSED", "LIKELY_CLOSED", "UNKNOWN", "REQUEST_FAILED", "HTTP_ERROR")
+#: skills by name: aliases as parts of folded text
+SKILLS = {
+    "python": "python", "sql": r"sql|postgresql|mysql|sql server|oracle sql|t.sql|pl.sql", "ml": "machine learning|scikit.learn|sklearn|xgboost|tensorflow|pytorch|predictive model[a-z]*",
+    "statistics": r"statistics|statistical|statistician|statistik[a-z]*|probability|inference|regression|time series|hypothesis testing|econometrics",
+}
+CHALLENGE = r"captcha|verify (?:that )?you are (?:a )?human|unusual traffic|are you a robot|access denied|checking your browser"
+NO_RESULTS = r"no (?:matching )?(?:results|jobs|vacancies) (?:were )?found|nenalezen[aoy]? zadn[aey]|zadne (?:nabidky|vysledky)|we found no"
+CLOSED = r"(?:position|vacancy|job|offer|advert) (?:is )?(?:no longer|not) (?:available|active|open)|(?:has been|is) (?:filled|closed)|closing notice|(?:pozice|nabidka|inzerat) (?:jiz |uz )?(?:neni aktivni|byla obsazena|byl ukoncen)"
+APPLY = r"apply (?:now|here|for this|control found)|send (?:us )?(?:your )?cv|odpovedet na (?:nabidku|inzerat)|prihlasit se"
+
+
+@dataclass(frozen=True)
+class Field:
+    name: str
+    raw: Column
+    folded: Column
+
+
+def with_fields(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, Field]]:
+    """The table with each field cleaned and folded once, and the fields."""
+    one = F.struct(*(F.struct(clean(F.col(f"`{n}`")).alias("raw"), fold(F.col(f"`{n}`")).alias("folded")).alias(f"f{k}") for k, n in enumerate(names)))
+    out = df.select("*", F.explode(F.array(one)).alias("_fields"))
+    return out, {n: Field(n, F.col(f"_fields.f{k}.raw"), F.col(f"_fields.f{k}.folded")) for k, n in enumerate(names)}
 
 
 def found(value: Column, evidence: Column) -> Column:
     return F.struct(value.alias("value"), evidence.alias("evidence"))
 
 
-def first_hit(fields: list[tuple[str, Column]], pattern: str, value: str) -> Column:
-    """struct(value, "Field: snippet") of the first field that matches; else null."""
-    out = []
-    for name, x in fields:
-        folded = fold(x)
-        hit = F.regexp_extract(folded, pattern, 0)
-        out.append(F.when(folded.rlike(pattern), found(F.lit(value), F.concat(F.lit(f"{name}: "), snippet(clean(x), F.position(hit, folded), F.length(hit))))))
-    return F.coalesce(*out)
+def bind(x: Column, f) -> Column:
+    """f(x) with x evaluated once."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
 
 
-def sentences(x: Column) -> Column:
-    return F.split(fold(x), r"(?<=[.!?;])\s+|\n+")
+def hit(field: Field, pattern: str, value: str) -> Column:
+    """struct(value, "Field: snippet") if the field matches, else null."""
+    first = F.regexp_extract(field.folded, pattern, 0)
+    shown = F.concat(F.lit(f"{field.name}: "), snippet(field.raw, F.position(first, field.folded), F.length(first)))
+    return F.when(field.folded.rlike(pattern), found(F.lit(value), shown))
 
 
-def bind(x: Column, f) -> Column:
-    """f(x) with x evaluated once."""
-    return F.get(F.transform(F.array(x), f), F.lit(0))
+def first_hit(fields: list[Field], pattern: str, value: str) -> Column:
+    """The first field that matches, else null."""
+    return F.coalesce(*(hit(f, pattern, value) for f in fields))
 
 
-def skill_signal(pattern: str, skills: Column, prose: Column) -> Column:
-    """REQUIRED, PREFERRED, MENTIONED or NOT_MENTIONED of one skill, from the
-    sentences of the prose (see ``sentences``) and a list of skills.
+def regex_evidence(field: Field, pattern: str, most: int = 3) -> Column:
+    """Up to ``most`` matches of a pattern as snippets."""
+    hits = F.slice(F.array_distinct(F.regexp_extract_all(field.folded, F.lit(pattern), F.lit(0))), 1, most)
+    return join_unique(F.transform(hits, lambda h: F.concat(F.lit(f"{field.name}: "), snippet(field.raw, F.position(h, field.folded), F.length(h)))), " | ")
 
-    In prose a sentence counts; a word for "welcome" beats one for "wanted". A
-    listed skill left of a bar is required; right of it, preferred. If all prose
-    says "welcome", prose beats the list.
-    """
-    listed = fold(F.coalesce(skills, F.lit("")))
-    left, right = F.substring_index(listed, "|", 1), F.when(listed.contains("|"), F.regexp_replace(listed, r"^[^|]*\|", "")).otherwise("")
 
-    def weigh(hits: Column) -> Column:
-        soft, hard = F.exists(hits, lambda s: s.rlike(PREFERRED)), F.exists(hits, lambda s: s.rlike(REQUIRED) & ~s.rlike(PREFERRED))
-        all_soft = (F.size(hits) > 0) & F.forall(hits, lambda s: s.rlike(PREFERRED))
-        value = (
-            F.when(all_soft, "PREFERRED")
-            .when(left.rlike(pattern), "REQUIRED").when(right.rlike(pattern), "PREFERRED")
-            .when(hard, "REQUIRED").when(soft, "PREFERRED").when(F.size(hits) > 0, "MENTIONED").otherwise("NOT_MENTIONED")
-        )
-        return found(value, F.coalesce(F.get(hits, F.lit(0)), F.when(listed.rlike(pattern), listed), F.lit("")))
+def whole(field: Field) -> Column:
+    return field_evidence(field.name, field.raw)
 
-    return bind(F.filter(prose, lambda s: s.rlike(pattern)), weigh)
 
+def none(value: str) -> Column:
+    return found(F.lit(value), F.lit(""))
 
-MONTHS = r"(\d{1,3})\s*\+?\s*(?:months?|mesic[a-z]*|monate?[a-z]*|mois)"
-YEARS = r"(\d{1,2})(?:\s*[-–]\s*\d{1,2})?\s*\+?\s*(?:years?|yrs?|let|roky?|roku|jahre?[a-z]*|ans|annees?)"
 
+def czech_requirement(languages: Field, requirements: Field, description: Field) -> Column:
+    """NOT_REQUIRED or PREFERRED where a field says so, in order of the fields;
+    else REQUIRED by prose, REQUIRED by the listed languages, MENTIONED where
+    the wording is about language, NOT_MENTIONED."""
+    soft = [x for f in (languages, requirements, description) for x in (hit(f, CZECH_WELCOME, "PREFERRED"), hit(f, WAIVED, "NOT_REQUIRED"))]
+    prose = [requirements, description]
+    listed = F.when(languages.folded.rlike(rf"(?:^|[^a-z])(?:cs|{CZECH}|cesky)(?:$|[^a-z])"), found(F.lit("REQUIRED"), whole(languages)))
+    return F.coalesce(*soft, first_hit(prose, CZECH_REQUIRED, "REQUIRED"), listed, first_hit(prose, CZECH_SPOKEN, "MENTIONED"), none("NOT_MENTIONED"))
 
-def minimum_years(x: Column, most: int = 15) -> Column:
-    """Largest minimum of years asked for; of a range the lower end counts;
-    numbers beyond ``most`` are no experience. Null if none is stated."""
-    t = fold(F.coalesce(x, F.lit("")))
-    years = F.transform(F.regexp_extract_all(t, F.lit(YEARS + r"\b"), F.lit(1)), lambda n: n.try_cast("int"))
-    return F.array_max(F.filter(years, lambda n: (n > 0) & (n <= most)))
 
+def english_acceptable(languages: Field, requirements: Field, description: Field, page_language: Field, enough: int = 180) -> Column:
+    """YES by the listed languages or the prose, LIKELY for a long English page, else UNKNOWN."""
+    listed = F.when(languages.folded.rlike(ENGLISH_LISTED), found(F.lit("YES"), whole(languages)))
+    likely = F.when(page_language.folded.startswith("en") & (F.length(description.raw) >= enough), found(F.lit("LIKELY"), whole(page_language)))
+    return F.coalesce(listed, first_hit([requirements, description], ENGLISH_WANTED, "YES"), likely, none("UNKNOWN"))
 
-def minimum_months(x: Column, most: int = 120) -> Column:
-    t = fold(F.coalesce(x, F.lit("")))
-    months = F.transform(F.regexp_extract_all(t, F.lit(MONTHS + r"\b"), F.lit(1)), lambda n: n.try_cast("int"))
-    return F.array_max(F.filter(months, lambda n: (n > 0) & (n <= most)))
 
+def _numbers(text: Column, pattern: str, group: int = 1) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda n: n.try_cast("int"))
 
-def language_need(language: str, prose: Column) -> Column:
-    """NOT_REQUIRED, PREFERRED, REQUIRED, MENTIONED or NOT_MENTIONED, from the
-    sentences of the prose."""
-    return bind(F.filter(prose, lambda s: s.rlike(language)), lambda hits: _language(language, hits))
 
+def minimum_years(structured: Field, *prose: Field) -> Column:
+    """Largest minimum of years asked for; a range counts with its lower end and
+    hides the numbers inside it; numbers beyond ``MOST_YEARS`` are no experience."""
 
-def _language(language: str, hits: Column) -> Column:
-    has = lambda p: F.exists(hits, lambda s: s.rlike(language + r"[^,.;]{0,30}(?:" + p + ")"))
+    def of(text: Column) -> Column:
+        spans = F.arrays_zip(_numbers(text, RANGE, 1).alias("lo"), _numbers(text, RANGE, 2).alias("hi"))
+        lows = F.transform(F.filter(spans, lambda s: (s["lo"] <= s["hi"]) & (s["hi"] <= MOST_YEARS)), lambda s: s["lo"])
+        rest = F.regexp_replace(text, RANGE, " ")
+        return F.concat(lows, *(_numbers(rest, p) for p in MINIMA))
+
+    years = F.concat(_numbers(structured.folded, rf"(\d{{1,2}}) ?{UNIT}"), *(of(f.folded) for f in prose))
+    return F.array_max(F.filter(years, lambda n: (n > 0) & (n <= MOST_YEARS)))
+
+
+def seniority(fields: list[Field]) -> Column:
+    """Levels named in any of the fields as one of eight values."""
+    named = lambda pattern: F.exists(F.array(*(f.folded for f in fields)), lambda t: t.rlike(pattern))
+    j, m, s = (named(p) for _, p in LEVELS)
     value = (
-        F.when(has(r"not (?:required|needed|necessary)|neni podminkou|neni nutn"), "NOT_REQUIRED")
-        .when(has(r"advantage|plus|vyhodou|vitan|vorteil"), "PREFERRED")
-        .when(has(r"needed|required|must|nutn|podminkou|erforderlich|daily|denne"), "REQUIRED")
-        .when(F.size(hits) > 0, "MENTIONED")
-        .otherwise(F.lit("NOT_MENTIONED"))
-    )
-    return found(value, F.coalesce(F.get(hits, F.lit(0)), F.lit("")))
+        F.when(j & m & s, "MIXED").when(j & m, "JUNIOR_MID").when(m & s, "MID_SENIOR").when(j & s, "JUNIOR_SENIOR")
+        .when(j, "JUNIOR").when(m, "MID").when(s, "SENIOR").otherwise("UNKNOWN")
+    )
+    shown = F.array(*(F.when(f.folded.rlike("|".join(p for _, p in LEVELS)), whole(f)).otherwise("") for f in fields))
+    return found(value, join_unique(shown, " | "))
 
 
-def english_acceptable(languages: Column, page_language: Column, prose: Column, enough: int = 180) -> Column:
-    """YES by the listed languages, LIKELY for a long English page, else UNKNOWN."""
-    listed = F.exists(split_multi(fold(languages)), lambda v: v.isin("en", "english", "anglictina"))
-    return F.when(listed, "YES").when(F.lower(page_language).startswith("en") & (F.length(prose) >= enough), "LIKELY").otherwise("UNKNOWN")
+def _windows(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(rf"[\s\S]{{0,{NEAR}}}(?:{pattern})[\s\S]{{0,{NEAR}}}"), F.lit(0))
 
 
-def levels(*fields: Column) -> Column:
-    """Levels named in any field, joined in the order junior, medior, senior."""
-    t = F.concat_ws(" ", *(fold(F.coalesce(x, F.lit(""))) for x in fields))
-    pairs = [("JUNIOR", r"\b(?:junior|jr|entry level|trainee|intern|absolvent)"), ("MEDIOR", r"\b(?:medior|mid)\b"), ("SENIOR", r"\b(?:senior|sr|expert|lead)\b")]
-    found_ = F.array_compact(F.array(*(F.when(t.rlike(p), F.lit(v)) for v, p in pairs)))
-    return F.when(F.size(found_) > 0, F.array_join(found_, "_")).otherwise("UNKNOWN")
+def word(pattern: str) -> str:
+    """A pattern as a whole word of folded text."""
+    return rf"(?:^|[^a-z0-9_])(?:{pattern})(?:$|[^a-z0-9_])"
 
 
-def work_mode(mode: Column, prose: Column) -> Column:
-    """HYBRID, FLEXIBLE, REMOTE, ONSITE or UNKNOWN; the field beats the text."""
-    m, t = fold(F.coalesce(mode, F.lit(""))), fold(F.coalesce(prose, F.lit("")))
-    remote, site = r"remote|z domova|home ?office|working from home|homeoffice", r"on-?site|office only|pracoviste"
-    return (
-        F.when(m.rlike("hybrid"), "HYBRID").when(m.rlike(remote) & m.rlike(site), "FLEXIBLE").when(m.rlike(remote), "REMOTE").when(m.rlike(site), "ONSITE")
-        .when(t.rlike("hybrid"), "HYBRID").when(t.rlike(remote), "REMOTE").when(t.rlike(site), "ONSITE").otherwise("UNKNOWN")
-    )
+def skill_signal(pattern: str, skills: Field, prose: list[Field]) -> Column:
+    """REQUIRED, PREFERRED, MENTIONED or NOT_MENTIONED of one skill.
 
+    In prose a word for "welcome" beats one for "wanted"; if all prose says
+    "welcome", it beats the list. A listed skill is required if it is marked so
+    or stands left of a bar, preferred right of it."""
+    p = word(pattern)
+    left, bar = F.substring_index(skills.folded, "|", 1), skills.folded.contains("|")
+    right = F.when(bar, F.regexp_replace(skills.folded, r"^[^|]*\|", "")).otherwise("")
+
+    def weigh(ws: Column) -> Column:
+        soft, hard = F.exists(ws, lambda w: w.rlike(PREFERRED)), F.exists(ws, lambda w: w.rlike(REQUIRED) & ~w.rlike(PREFERRED))
+        value = (
+            F.when(soft & ~hard, "PREFERRED")
+            .when(skills.folded.rlike(rf"{p[: -len('(?:$|[^a-z0-9_])')]} ?\[required\]") | left.rlike(p), "REQUIRED").when(right.rlike(p), "PREFERRED")
+            .when(hard, "REQUIRED").when(soft, "PREFERRED").when(F.size(ws) > 0, "MENTIONED").otherwise("NOT_MENTIONED")
+        )
+        return found(value, F.coalesce(F.get(ws, F.lit(0)), F.when(skills.folded.rlike(p), whole(skills)), F.lit("")))
+
+    return bind(F.flatten(F.array(*(_windows(f.folded, p) for f in prose))), weigh)
 
-def page_status(status: Column, http: Column, allowed: list[str]) -> Column:
-    """The status if it is an allowed one; CLOSED for a gone page; else UNKNOWN."""
-    s = F.upper(clean(status))
-    return F.when(clean(http).isin("404", "410"), "CLOSED").when(s.isin(*allowed), s).otherwise("UNKNOWN")
 
+#: R as an item of a list, and where the words around it speak of programming
+R_ITEM = r"(?:^|[;,]\s*)R(?:\s*[;,]|$)"
+R_PROSE = r"\bPython ?(?:and/or|or|and|/) ?R\b|\bR ?(?:and/or|or|and|/) ?Python\b|\b(?:using|with|in|language) R(?:[ ,.;)]|$)|\bR programming\b|\bRStudio\b|\bdata\.table\b"
 
-def publication(published: Column, upper_bound: Column) -> Column:
+
+def r_signal(skills: Field, prose: list[Field]) -> Column:
+    """The language R, told from the letter by case and context; the strongest
+    of several mentions counts."""
+    left, bar = F.substring_index(skills.raw, "|", 1), skills.raw.contains("|")
+    right = F.when(bar, F.regexp_replace(skills.raw, r"^[^|]*\|", "")).otherwise("")
+
+    def weigh(ws: Column) -> Column:
+        low = F.transform(ws, fold)
+        soft, hard = F.exists(low, lambda w: w.rlike(PREFERRED)), F.exists(low, lambda w: w.rlike(REQUIRED) & ~w.rlike(PREFERRED))
+        value = (
+            F.when(skills.raw.rlike(r"(?:^|[;|,]\s*)R\s*\[required\]") | F.trim(left).rlike(R_ITEM), "REQUIRED").when(F.trim(right).rlike(R_ITEM), "PREFERRED")
+            .when(hard, "REQUIRED").when(soft, "PREFERRED").when(F.size(ws) > 0, "MENTIONED").otherwise("NOT_MENTIONED")
+        )
+        return found(value, F.coalesce(F.get(ws, F.lit(0)), F.lit("")))
+
+    return bind(F.flatten(F.array(*(_windows(f.raw, R_PROSE) for f in prose))), weigh)
+
+
+REMOTE, HYBRID, ONSITE = r"\bremote\b", r"\bhybrid\b", r"\bon.?site\b"
+FULLY, PARTLY, OFFICE = r"\b(?:fully|full|100 ?%) remote\b", r"\bhybrid\b|\bhome office\b|\bwork from home\b|\bpraci? z domova\b", r"\bon.?site\b|\boffice.based\b"
+
+
+def work_mode(mode: Field, prose: list[Field]) -> Column:
+    """HYBRID, FLEXIBLE, REMOTE, ONSITE or UNKNOWN; the field beats the text, and
+    in a text only a full remote job is one."""
+    m = mode.folded
+    by_field = (
+        F.when(m.rlike(HYBRID), found(F.lit("HYBRID"), whole(mode))).when(m.rlike(REMOTE) & m.rlike(ONSITE), found(F.lit("FLEXIBLE"), whole(mode)))
+        .when(m.rlike(REMOTE), found(F.lit("REMOTE"), whole(mode))).when(m.rlike(ONSITE), found(F.lit("ONSITE"), whole(mode)))
+    )
+    by_text = [hit(f, p, v) for f in prose for p, v in ((FULLY, "REMOTE"), (PARTLY, "HYBRID"), (OFFICE, "ONSITE"))]
+    return F.coalesce(by_field, *by_text, none("UNKNOWN"))
+
+
+def page_status(status: Field, http: Field, shown: Field) -> Column:
+    """The status if it is an allowed one, else CLOSED for a gone page, else UNKNOWN."""
+    s = F.upper(status.raw)
+    stated = F.when(s.isin(*STATUSES), found(s, join_unique(F.array(whole(status), whole(shown)), " | ")))
+    return F.coalesce(stated, F.when(http.raw.isin("404", "410"), found(F.lit("CLOSED"), whole(http))), none("UNKNOWN"))
+
+
+def publication(published: Column, upper_bound: Column, mined: Column | None = None) -> Column:
     """struct(value, evidence): the instant that an age is counted from, and
-    whether it is exact or the least age."""
-    return F.when(published.isNotNull(), found(published, F.lit("EXACT"))).when(upper_bound.isNotNull(), found(upper_bound, F.lit("MINIMUM_AGE"))).otherwise(found(F.lit(None).cast("timestamp"), F.lit("UNKNOWN")))
+    whether it is exact, the least age, or only when the page was seen."""
+    out = F.when(published.isNotNull(), found(published, F.lit("EXACT"))).when(upper_bound.isNotNull(), found(upper_bound, F.lit("MINIMUM_AGE")))
+    if mined is not None:
+        out = out.when(mined.isNotNull(), found(mined, F.lit("SEEN")))
+    return out.otherwise(found(F.lit(None).cast("timestamp"), F.lit("UNKNOWN")))
 
 
 def flags(pairs: list[tuple[Column, str]]) -> Column:
     """Names of the conditions that hold, joined by " | " in order."""
     return join_unique(F.array(*(F.when(c, F.lit(n)).otherwise("") for c, n in pairs)), " | ")
+
+
+def conflicts(czech: Column, status: Column) -> Column:
+    return flags([(czech == "REQUIRED", "CZECH_REQUIRED"), (status == "CLOSED", "CLOSED")])
+
+
+def review_flags(extraction: Column, status: Column, years: Column, level: Column, czech: Column, english: Column) -> Column:
+    """What a reviewer should look at, in a fixed order."""
+    e = F.upper(clean(extraction))
+    return flags([
+        (e == "PARTIAL", "PARTIAL_EXTRACTION"), (e.isin("FAILED", "BLOCKED"), "EXTRACTION_UNAVAILABLE"), (status == "LIKELY_CLOSED", "LIKELY_CLOSED"),
+        (status.isin("REQUEST_FAILED", "HTTP_ERROR"), "CURRENT_STATUS_UNCERTAIN"), (F.coalesce(years >= 3, F.lit(False)), "EXPERIENCE_3_PLUS"),
+        (level.isin("SENIOR", "MID_SENIOR", "MIXED", "JUNIOR_SENIOR"), "SENIOR_LEVEL_PRESENT"), (czech.isin("PREFERRED", "MENTIONED"), "CZECH_SIGNAL_REVIEW"), (english == "UNKNOWN", "ENGLISH_UNCLEAR"),
+    ])
+
+
+def warnings(hard: Column, kinds: Column, review: Column, status: Column) -> Column:
+    """Conflicts (or that there is one), flags and a bad status, each once."""
+    split = lambda x: F.split(F.coalesce(x, F.lit("")), r"\s*[|;]\s*")
+    named = F.when(F.upper(clean(hard)) == "YES", F.when(clean(kinds) != "", split(kinds)).otherwise(F.array(F.lit("HARD_CONFLICT")))).otherwise(F.array().cast("array<string>"))
+    s = F.upper(clean(status))
+    bad = F.when(s.isin("CLOSED", "LIKELY_CLOSED", "REQUEST_FAILED", "HTTP_ERROR"), F.array(s)).otherwise(F.array().cast("array<string>"))
+    return join_unique(F.concat(named, split(review), bad), " | ")

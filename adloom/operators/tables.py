@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adloom.functions.text import clean, missing, title_key
+from adloom.functions import dates
+from adloom.functions.text import clean, first_nonempty, missing, title_key
+from adloom.functions.urls import detect_source
+from adloom.session import cut
 
 
 def header_key(name: str) -> str:
@@ -183,3 +186,81 @@ def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """(rule, rows): how many rows break each rule, in one pass."""
     counts = df.agg(*(F.count_if(~F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()))
     return counts.select(F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.col(f"`{n}`").alias("rows")) for n in rules))).alias("r")).select("r.*")
+
+
+def rank_of(x: Column, values: list[str], other: int = 99) -> Column:
+    """Place of a value in a list, ``other`` if it isn't there."""
+    out = F.lit(other)
+    for k, v in enumerate(values):
+        out = F.when(x == v, F.lit(k)).otherwise(out)
+    return out
+
+
+def placed(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """1-based place of every row under a total order, without a single task
+    that holds all rows: rows are spread by ranges of the order and sorted, the
+    ranges are counted, and each row's place is its own in the range plus all
+    ranges before. The sorted rows are cut, so that both steps see the same ranges."""
+    keys = [F.col(f"`{c}`") for c in df.columns]
+    sorted_ = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).select(*keys, F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_at")))
+    per = sorted_.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = per.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a range
+    return sorted_.join(F.broadcast(before), "_range").select(*keys, (F.col("_at") - F.col("_first") + F.col("_before") + 1).cast("long").alias(name))
+
+
+def placed_within(df: DataFrame, by: list[str], order: list[Column], name: str = "position") -> DataFrame:
+    """1-based place of every row within its group, also if one group holds a
+    third of all rows: places under (group, order) less the group's first one."""
+    everywhere = placed(df, [*(F.col(f"`{c}`") for c in by), *order], "_place")
+    firsts = everywhere.groupBy(*(F.col(f"`{c}`") for c in by)).agg(F.min("_place").alias("_first"))
+    same = [F.col(f"r.`{c}`").eqNullSafe(F.col(f"f.`{c}`")) for c in by]
+    return everywhere.alias("r").join(firsts.alias("f"), same).select(*(F.col(f"r.`{c}`") for c in df.columns), (F.col("_place") - F.col("_first") + 1).alias(name))
+
+
+def seen_span(df: DataFrame, key: str, at: str) -> DataFrame:
+    """(key, first_seen, last_seen, times) of each key."""
+    return df.groupBy(key).agg(F.min(at).alias("first_seen"), F.max(at).alias("last_seen"), F.count(F.lit(1)).alias("times"))
+
+
+def merge_metrics(joined: DataFrame, key: str, found: str, own: Column, inferred: Column) -> DataFrame:
+    """Counters of a lookup join and of levels coalesced by it, in one row."""
+    has, inf = ~missing(own), ~missing(inferred)
+    n = lambda c, name: F.count_if(c).alias(name)
+    return joined.agg(
+        F.count(F.lit(1)).alias("rows"), n(F.col(key) == "", "blank_titles"), F.count_distinct(key).alias("titles"), F.count(found).alias("matched"), n(F.col(found).isNull(), "unmatched"),
+        n(has, "own_level"), n(~has & inf, "inferred_level"), n(has & inf & (title_key(own) != title_key(inferred)), "level_conflicts"),
+    )
+
+
+def review_master(graded: DataFrame, pages: DataFrame, reviews: DataFrame, hosts: list[tuple[str, str]], as_of: str) -> DataFrame:
+    """The review list: every graded advert (ID, grade, title, Seniority, URL,
+    url_key) with its latest page and review by address. Without graded adverts
+    the pages drive the list. All sides have one row per address."""
+    if graded.isEmpty():
+        graded = pages.select(F.lit("").alias("ID"), F.lit("").alias("grade"), F.col("Job_Title_Page").alias("title"), F.col("Seniority_Detail").alias("Seniority"), F.col("Input_URL").alias("URL"), "url_key")
+    one = lambda df, names, mark: df.select("url_key", *(F.col(n).alias(f"{mark}{n}") for n in names), F.lit(True).alias(f"{mark}here"))
+    j = graded.join(one(pages, [c for c in pages.columns if c != "url_key"], "p_"), "url_key", "left").join(one(reviews, [c for c in reviews.columns if c != "url_key"], "r_"), "url_key", "left")
+    at = F.coalesce(*(dates.iso_instant(F.col(f"p_{c}")) for c in ("Published_At", "Published_Upper_Bound", "Mining_Date")))
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return j.select(
+        "ID", "grade", first_nonempty(F.col("p_Job_Title_Page"), F.col("title")).alias("title"), first_nonempty(F.col("p_Company_Page")).alias("company"), first_nonempty(F.col("p_Seniority_Detail"), F.col("Seniority")).alias("seniority"),
+        first_nonempty(F.col("p_Source"), detect_source(F.col("URL"), hosts)).alias("source"), first_nonempty(F.col("p_Current_Status")).alias("status"), F.when(F.col("p_here"), F.upper(blank("p_Extraction_Status"))).otherwise("NOT ENRICHED").alias("enrichment"),
+        F.coalesce(F.nullif(F.col("r_Review_Status"), F.lit("")), F.lit("UNREVIEWED")).alias("review_status"), blank("r_Review_Decision").alias("decision"), blank("r_Review_Priority").alias("priority"), blank("r_Review_Reasons").alias("reasons"),
+        F.unix_micros(at).alias("published_us"), dates.bucket(dates.age_days(at, as_of), dates.FRESHNESS, "OLD").alias("freshness"), "url_key",
+    )
+
+
+def review_filter(master: DataFrame, chosen: dict[str, list[str]], search: str = "", only_open: bool = False, only_enriched: bool = False) -> DataFrame:
+    """Rows whose columns have one of the chosen values (none chosen: no rows;
+    "Unreviewed" stands for no decision) and whose title or company holds the
+    searched text literally, whatever its case."""
+    out = master
+    for column, values in chosen.items():
+        x = F.coalesce(F.nullif(F.col(column), F.lit("")), F.lit("Unreviewed")) if column == "decision" else F.col(column)
+        out = out.where(x.isin(*values) if values else F.lit(False))
+    if search.strip():
+        q = F.lit(search.strip().lower())
+        out = out.where(F.contains(F.lower("title"), q) | F.contains(F.lower("company"), q))
+    if only_open:
+        out = out.where(~F.upper("status").isin("CLOSED", "HTTP_ERROR", "REQUEST_FAILED"))
+    return out.where(F.col("enrichment") != "NOT ENRICHED") if only_enriched else out

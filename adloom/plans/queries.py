@@ -259,7 +259,7 @@ def queue_order(spark, d):
     for k, p in enumerate(PRIORITIES):
         rank = F.when(F.coalesce(F.col("`Review.Priority`"), F.lit("")) == p, F.lit(k)).otherwise(rank)
     order = [rank, F.col("`Fit.Score`").try_cast("double").desc_nulls_last(), dates.instant(F.col("Mining_Date")).desc_nulls_last(), text.fold(F.col("`Job.Title`")), F.col("row_id")]
-    return T.rank_within(table(spark, d, "data_analytics"), ["ID"], order).select("row_id", F.col("position").cast("long").alias("position"))
+    return T.placed_within(table(spark, d, "data_analytics").select("row_id", "ID", "`Review.Priority`", "`Fit.Score`", "Mining_Date", "`Job.Title`"), ["ID"], order).select("row_id", F.col("position").cast("long").alias("position"))
 
 
 @query("""SELECT row_id, "ID", "Job.Title", "Fit.Score" FROM data_analytics ORDER BY try_cast("Fit.Score" AS DOUBLE) DESC NULLS LAST, row_id LIMIT 200""")
@@ -369,23 +369,6 @@ def title_subtypes(spark, d):
     return got.select("value", "root", rules.subtype(text.normalise(F.col("value")), F.col("root")).alias("subtype"), rules.secondary(F.col("value"), F.col("root")).alias("secondary"))
 
 
-# --- evidence ---------------------------------------------------------------------------
-@query()
-def page_evidence(spark, d):
-    """Skills, languages, experience, levels and work mode of every page."""
-    prose = F.coalesce(F.col("Description"), F.lit(""))
-    # exploded, so that the sentences are cut once for all extractors
-    p = table(spark, d, "prospects_enriched_raw").select("*", F.explode(F.array(evidence.sentences(prose))).alias("_sentences"))
-    skill = lambda name: evidence.skill_signal(rules.tool_pattern(name), F.col("Skills"), F.col("_sentences"))["value"].alias(name.lower().replace(" ", "_"))
-    return p.select(
-        "row_id", skill("Python"), skill("SQL"), skill("Power BI"), evidence.language_need(r"czech|cestina|tcheque|tschechisch", F.col("_sentences"))["value"].alias("czech"),
-        evidence.english_acceptable(F.col("Languages"), F.col("Page_Language"), prose).alias("english"), evidence.minimum_years(prose).alias("years"), evidence.minimum_months(prose).alias("months"),
-        evidence.levels(F.col("Seniority_Input"), F.col("Seniority_Detail")).alias("levels"), evidence.work_mode(F.col("Remote_Mode"), prose).alias("work_mode"),
-        evidence.page_status(F.col("Current_Status"), F.col("HTTP_Status"), ["OPEN", "CLOSED", "LIKELY_OPEN", "LIKELY_CLOSED", "EXPIRED", "UNKNOWN"]).alias("status"),
-        evidence.first_hit([("Description", prose), ("Requirements", F.coalesce(F.col("Requirements"), F.lit("")))], "sql", "SQL")["evidence"].alias("sql_evidence"),
-    )
-
-
 _AGE = f"greatest(0, CAST(floor((epoch(TIMESTAMPTZ '{AS_OF}+00') - epoch({{}})) / 86400) AS BIGINT))"
 _AGE1 = f"CASE WHEN {_at_sql('\"Mining_Date\"')} IS NULL THEN NULL ELSE {_AGE.format(_at_sql('\"Mining_Date\"'))} END"
 

@@ -76,15 +76,74 @@ def test_rules(spark):
     df = spark.createDataFrame([(t,) for t in ("Senior Data Analyst", "Assistant to CEO", "Vedoucí skladu", "", "xyz", "CEO")], "t string")
     got = {r["t"]: (r["root"], r["method"]) for r in rules.classify(df, "t", rules.ROOTS, rules.OVERRIDES).collect()}
     assert got["Senior Data Analyst"][0] == "Analyst" and got["Vedoucí skladu"][0] == "Manager"
-    assert got["Assistant to CEO"][0] == "Assistant" and got[""] == ("Other", "blank") and got["xyz"] == ("Other", "unclassified") and got["CEO"] == ("Manager", "exact override")
-
-
-def test_evidence(spark):
-    skill = lambda prose, skills="": one(spark, prose, lambda x: evidence.skill_signal(rules.tool_pattern("Python"), F.lit(skills), evidence.sentences(x))["value"])
-    assert skill("We require Python. Tea is nice.") == "REQUIRED" and skill("Nice to have: Python.") == "PREFERRED"
-    assert skill("Python here") == "MENTIONED" and skill("none") == "NOT_MENTIONED" and skill("none", "SQL | Python") == "PREFERRED"
-    assert one(spark, "3-5 years of experience, 20 years of history, 2+ years", evidence.minimum_years) == 3
-    assert one(spark, "Junior", lambda x: evidence.levels(x)) == "JUNIOR"
+    assert got["Assistant to CEO"][0] == "Assistant" and got[""] == ("Other", "blank") and got["xyz"] == ("Other", "unclassified") and got["CEO"] == ("Manager", "grounds")
+
+
+def _extract(spark, f, **values):
+    names = ["Languages", "Requirements", "Description", "Skills", "Page_Language", "Seniority_Detail", "Remote_Mode", "Current_Status", "HTTP_Status", "Status_Evidence"]
+    df = spark.createDataFrame([tuple(values.get(n) for n in names)], ", ".join(f"{n} string" for n in names))
+    out, fields = evidence.with_fields(df, names)
+    return out.select(f(fields).alias("y")).first()["y"]
+
+
+def test_skills(spark):
+    skill = lambda **v: _extract(spark, lambda f: evidence.skill_signal("python", f["Skills"], [f["Requirements"], f["Description"]]), **v)["value"]
+    assert skill(Description="We require Python. Tea is nice.") == "REQUIRED" and skill(Description="Nice to have: Python.") == "PREFERRED"
+    assert skill(Description="Python here") == "MENTIONED" and skill(Description="none") == "NOT_MENTIONED" == skill() and skill(Skills="SQL | Python") == "PREFERRED"
+    assert skill(Skills="Python [required]; SQL") == "REQUIRED" and skill(Skills="Python", Description="Python is not required but a plus") == "PREFERRED" and skill(Description="cpython must") == "NOT_MENTIONED"
+    r = lambda **v: _extract(spark, lambda f: evidence.r_signal(f["Skills"], [f["Requirements"], f["Description"]]), **v)["value"]
+    assert r(Skills="R; SQL") == "REQUIRED" and r(Skills="SQL | R") == "PREFERRED" and r(Skills="R&D") == "NOT_MENTIONED" and r(Description="r and d in Python or R") == "MENTIONED"
+    assert r(Description="You must know R programming.") == "REQUIRED" and r(Description="letter r") == "NOT_MENTIONED"
+
+
+def test_languages_years_levels_mode_status(spark):
+    czech = lambda **v: _extract(spark, lambda f: evidence.czech_requirement(f["Languages"], f["Requirements"], f["Description"]), **v)["value"]
+    assert czech(Description="English is used, Czech is not required.") == "NOT_REQUIRED" and czech(Requirements="Čeština výhodou") == "PREFERRED" and czech(Description="Fluent Czech") == "REQUIRED"
+    assert czech(Languages="Czech; English") == "REQUIRED" and czech(Description="the Czech market") == "NOT_MENTIONED" and czech(Description="czech language courses") == "MENTIONED" and czech() == "NOT_MENTIONED"
+    english = lambda **v: _extract(spark, lambda f: evidence.english_acceptable(f["Languages"], f["Requirements"], f["Description"], f["Page_Language"]), **v)["value"]
+    assert english(Languages="en") == "YES" and english(Page_Language="en", Description="x" * 200) == "LIKELY" and english(Page_Language="en", Description="x") == "UNKNOWN" and english(Requirements="Znalost angličtiny") == "YES"
+    years = lambda **v: _extract(spark, lambda f: evidence.minimum_years(f["Seniority_Detail"], f["Requirements"], f["Description"]), **v)
+    assert years(Description="3-5 years of experience") == 3 and years(Description="2+ years in data, 1 year of experience") == 2 and years(Description="5-2 years of experience") is None and years(Description="20 years of experience") is None
+    assert years(Requirements="alespoň 4 roky praxe") == 4 and years(Seniority_Detail="6 let") == 6 and years() is None
+    level = lambda *ts: _extract(spark, lambda f: evidence.seniority([f["Seniority_Detail"], f["Requirements"]]), Seniority_Detail=ts[0], Requirements=ts[1])["value"]
+    assert [level("Junior", None), level("medior", "Senior"), level("junior medior", "lead"), level(None, None)] == ["JUNIOR", "MID_SENIOR", "MIXED", "UNKNOWN"]
+    mode = lambda **v: _extract(spark, lambda f: evidence.work_mode(f["Remote_Mode"], [f["Requirements"], f["Description"]]), **v)["value"]
+    assert [mode(Remote_Mode="Remote, on-site"), mode(Description="remote villages"), mode(Description="100% remote"), mode(Description="home office"), mode(Remote_Mode="hybrid remote")] == ["FLEXIBLE", "UNKNOWN", "REMOTE", "HYBRID", "HYBRID"]
+    status = lambda **v: _extract(spark, lambda f: evidence.page_status(f["Current_Status"], f["HTTP_Status"], f["Status_Evidence"]), **v)["value"]
+    assert [status(Current_Status="open", HTTP_Status="404"), status(HTTP_Status="410"), status(Current_Status="?")] == ["OPEN", "CLOSED", "UNKNOWN"]
+    shown = _extract(spark, lambda f: evidence.regex_evidence(f["Description"], r"sql|python"), Description="SQL and Python and SQL")
+    assert shown == "Description: SQL and Python and SQL"
+
+
+def test_flags_and_warnings(spark):
+    df = spark.createDataFrame([("partial", "LIKELY_CLOSED", 4, "SENIOR", "REQUIRED", "UNKNOWN"), ("ok", "CLOSED", None, "JUNIOR", "NOT_MENTIONED", "YES")], "e string, s string, y int, l string, c string, n string")
+    f = evidence.review_flags(F.col("e"), F.col("s"), F.col("y"), F.col("l"), F.col("c"), F.col("n"))
+    k = evidence.conflicts(F.col("c"), F.col("s"))
+    got = [tuple(r) for r in df.select(f, k, evidence.warnings(F.lit("YES"), k, f, F.col("s")), evidence.warnings(F.lit("YES"), F.lit(""), F.lit(None).cast("string"), F.lit("open"))).collect()]
+    many = "PARTIAL_EXTRACTION | LIKELY_CLOSED | EXPERIENCE_3_PLUS | SENIOR_LEVEL_PRESENT | ENGLISH_UNCLEAR"
+    assert got == [(many, "CZECH_REQUIRED", f"CZECH_REQUIRED | {many}", "HARD_CONFLICT"), ("", "CLOSED", "CLOSED", "HARD_CONFLICT")]
+
+
+def test_places_without_one_task(spark):
+    df = spark.createDataFrame([(i, "hot" if i % 3 else f"g{i}", (i * 7) % 11) for i in range(300)], "i int, g string, x int")
+    got = T.placed(df, [F.col("x"), F.col("i")]).collect()
+    assert {r["i"]: r["position"] for r in got} == {r["i"]: k for k, r in enumerate(sorted(df.collect(), key=lambda r: (r["x"], r["i"])), 1)}
+    want, last = {}, {}
+    for r in sorted(df.collect(), key=lambda r: (r["g"], r["x"], r["i"])):
+        want[r["i"]] = last[r["g"]] = last.get(r["g"], 0) + 1
+    assert {r["i"]: r["position"] for r in T.placed_within(df, ["g"], [F.col("x"), F.col("i")]).collect()} == want
+    assert T.placed(df.limit(0), [F.col("i")]).count() == 0
+
+
+def test_filter_without_choice_is_empty(spark):
+    m = spark.createDataFrame([("t", "c", "", "OPEN", "OK")], "title string, company string, decision string, status string, enrichment string")
+    assert T.review_filter(m, {"decision": []}).count() == 0 and T.review_filter(m, {"decision": ["Unreviewed"]}, search="T").count() == 1 and T.review_filter(m, {}, search="(").count() == 0
+
+
+def test_unique_ids(spark):
+    df = spark.createDataFrame([(f"https://x/{i}",) for i in range(500)] * 2, "u string")
+    got = {r["url"]: r["id"] for r in urls.unique_ids(df, "u", "A_", places=2).collect()}
+    assert len(got) == 500 == len(set(got.values())) and got == {r["url"]: r["id"] for r in urls.unique_ids(df.orderBy(F.desc("u")), "u", "A_", places=2).collect()}
 
 
 def test_pages(spark):
