@@ -212,6 +212,16 @@ def default_exemplars() -> list[tuple[str, tuple[str, ...]]]:
     return out + [("filler", (ALONE, *exemplar_words(t))) for t in WHOLE] + list(SHAPES)
 
 
+def deletions(word: str, most: int) -> set[str]:
+    """A word and what is left of it after up to ``most`` deletions: words that
+    are so many slips apart share one."""
+    out = last = {word}
+    for _ in range(most):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        out = out | last
+    return out
+
+
 class Index:
     """Inverted index of the exemplars with TF-IDF weights.
 
@@ -238,11 +248,18 @@ class Index:
                 self.posting[w].append(len(self.exemplars))
                 left -= weight[w]
             self.exemplars.append((kind, weight, mass))
-        # exemplar words by length, for slips
-        self.by_length: dict[int, list[str]] = defaultdict(list)
+        # exemplar words by what is left of them after as many deletions as they may have slips
+        self.left: dict[str, list[str]] = defaultdict(list)
+        self.short: dict[str, list[str]] = defaultdict(list)
         for w in self.weight:
-            if not w.startswith("§"):
-                self.by_length[len(w)].append(w)
+            if w.startswith("§") or len(w) < 3:
+                continue
+            if len(w) == 3:
+                if not w.isdigit():
+                    self.short["".join(sorted(w))].append(w)
+                continue
+            for rest in deletions(w, 1 if len(w) < 8 else 2):
+                self.left[rest].append(w)
 
     def idf(self, word: str) -> float:
         if word.isdigit():
@@ -253,15 +270,13 @@ class Index:
         """Exemplar words that a window's word is a slip of, and how much each counts."""
         if (known := self.memo.get(h)) is None:
             known, n = [], len(h)
-            if not h.startswith("§"):
-                for w in (w for m in range(n - 2, n + 3) for w in self.by_length.get(m, ())):
-                    if w == h:
-                        continue
-                    if len(w) > 3:
-                        if n > 2 and h[0] in (w[0], w[1]) and slips(w, h, 1 if len(w) < 8 else 2):
-                            known.append((w, 0.9))
-                    elif len(w) == 3 and n == 3 and not w.isdigit() and sorted(h) == sorted(w):
-                        known.append((w, 0.8))
+            if n == 3:
+                known = [(w, 0.8) for w in self.short.get("".join(sorted(h)), ()) if w != h]
+            if n > 2 and not h.startswith("§"):
+                left = self.left
+                for w in sorted({w for rest in deletions(h, 2 if n > 5 else 1) if rest in left for w in left[rest]}):
+                    if w != h and h[0] in (w[0], w[1]) and slips(w, h, 1 if len(w) < 8 else 2):
+                        known.append((w, 0.9))
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             self.memo[h] = known
@@ -423,6 +438,18 @@ def _frequencies(cells: DataFrame, vocabulary: frozenset[str]) -> tuple[dict[str
     return df, df.pop("", 1)
 
 
+_indexes: dict[tuple, Index] = {}
+
+
+def shared_index(df: dict[str, int], total: int, exemplars: list[tuple[str, tuple[str, ...]]]) -> Index:
+    """One index per worker process and corpus, so that tasks share what is kept."""
+    key = (total, tuple(sorted(df.items())), tuple(exemplars))
+    if key not in _indexes:
+        _indexes.clear()
+        _indexes[key] = Index(df, total, exemplars)
+    return _indexes[key]
+
+
 def find_residue(df: DataFrame, fields: list[str], row_id: str = "row_id", exemplars: list[tuple[str, str]] = ()) -> DataFrame:
     """(row_id, field, kind) of each field that holds residue. ``exemplars`` are
     further (kind, text): notice, error, unfilled, filler or about."""
@@ -432,7 +459,7 @@ def find_residue(df: DataFrame, fields: list[str], row_id: str = "row_id", exemp
     frequencies, total = _frequencies(cells, frozenset(w for _, ws in known for w in ws))
 
     def judge(batches):
-        index = Index(frequencies, total, known)
+        index = shared_index(frequencies, total, known)
         for pdf in batches:
             out = pd.DataFrame({"row_id": pdf["row_id"], "field": pdf["field"], "kind": [judge_field(index, t) for t in pdf["text"]]})
             yield out[out["kind"].notna()]
