@@ -77,3 +77,24 @@ def unique_ids(df: DataFrame, url: str, prefix: str, places: int = 4) -> DataFra
     return one.withColumn("_slot", slot).withColumn("_n", n).select(
         "url", F.concat(F.lit(prefix), F.lpad(F.col("_slot").cast("string"), places, "0"), F.when(F.col("_n") > 1, F.concat(F.lit("_"), F.col("_n").cast("string"))).otherwise("")).alias("id")
     )
+
+
+def site_url(url: Column, sites: list[tuple[str, bool, bool]]) -> Column:
+    """Canonical address by the rules of the board whose host part it has: always
+    https and without a closing slash, with "www." in front or the query dropped
+    where the board wants it; other boards' as ``review_key``."""
+    u = with_scheme(url)
+    name, path, query = F.lower(_piece(u, 2)), F.regexp_replace(_piece(u, 3), "/+$", ""), _piece(u, 4)
+    out = review_key(url)
+    for part, www, drop in reversed(sites):
+        front = F.concat(F.lit("www."), F.regexp_replace(name, r"^www\.", "")) if www else name
+        tail = F.lit("") if drop else F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")
+        out = F.when(name.contains(part), F.concat(F.lit("https://"), front, path, tail)).otherwise(out)
+    return F.when(u == "", "").otherwise(out)
+
+
+def page_key(url: Column, passing: list[str]) -> Column:
+    """Host, path and sorted query of a page without passing parameters."""
+    u = with_scheme(url)
+    pairs = F.array_sort(F.filter(F.split(_piece(u, 4), "&"), lambda p: (p != "") & ~p.rlike(rf"^(?:utm_[^=]*|{'|'.join(passing)})(?:=|$)")))
+    return F.concat(F.lower(_piece(u, 2)), _piece(u, 3), F.when(F.size(pairs) > 0, F.concat(F.lit("?"), F.array_join(pairs, "&"))).otherwise(""))
