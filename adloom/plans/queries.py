@@ -3,7 +3,7 @@ results in SQL. All run over whole tables; names are alike on both sides."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adloom.functions import dates, text, urls
 from adloom.operators import evidence, rules
 from adloom.operators import tables as T
-from adloom.session import table
+from adloom.session import checkpoint_dir, table
 from adloom.sources import pages
 from adloom.streaming import streams
 
@@ -398,7 +398,18 @@ def jsonld_round_trip(spark, d):
     return got.select("row_id", "title", "company", "location", "employment_type")
 
 
-@query()
+def _text_sql(c: str) -> str:
+    t = c
+    for tag in ("script", "style", "noscript"):
+        t = f"regexp_replace({t}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', ' ', 'g')"
+    t = rf"regexp_replace({t}, '(?i)<br\s*/?>|</?(?:p|li|div|h[1-6]|ul|ol|tr|table|section|article)\b[^>]*>', chr(10), 'g')"
+    t = f"regexp_replace({t}, '<[a-zA-Z/!][^<>]*>', '', 'g')"
+    for mark, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        t = f"replace({t}, '{mark}', '{ch}')"
+    return rf"regexp_replace(regexp_replace(regexp_replace({t}, '[\t\x0B\f\r ]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), '^\s+|\s+$', '', 'g')"
+
+
+@query(f"""SELECT doc_id, {_text_sql('text')} AS plain FROM documents""")
 def document_text(spark, d):
     """Visible text of documents that carry markup."""
     return table(spark, d, "documents").select("doc_id", text.html_text(F.col("text")).alias("plain"))
@@ -416,12 +427,8 @@ def review_violations(spark, d):
 
 # --- streaming ----------------------------------------------------------------------------
 def _stream_folder(spark: SparkSession) -> str:
-    from adloom.session import checkpoint_dir
-
-    base = checkpoint_dir(spark)
-    import uuid
-
-    return f"{base}/streams/{uuid.uuid4().hex}" if base else tempfile.mkdtemp()
+    """A new folder for a stream's output and state in the shared folder."""
+    return f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
 
 
 @query("""SELECT DISTINCT "Input_URL" FROM prospects_enriched_raw WHERE "Input_URL" IS NOT NULL""")

@@ -48,14 +48,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: bytes that one task of a CPU-heavy stage may well read
+TASK_BYTES = 64 << 20
+
+
 def spread(df: DataFrame, key: str, per_core: int = 3) -> DataFrame:
     """Give a CPU-heavy stage enough tasks.
 
-    Large inputs already come in many splits and pass unchanged; a scan of few
-    splits is hashed by ``key`` (unique, so even; deterministic on retry).
+    Large inputs come in many splits anyway and pass unchanged; a small one is
+    hashed by ``key`` (unique, so even; deterministic on retry). The size is the
+    planner's estimate, so nothing runs while the plan is built.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    if size >= 2 * cores * TASK_BYTES:
         return df
     return df.repartition(per_core * cores, F.col(f"`{key}`"))
 

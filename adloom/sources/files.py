@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import glob
 import os
-import shutil
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,16 +61,48 @@ def merged(defaults: dict, override: dict) -> dict:
     return out
 
 
-def write_atomic(df: DataFrame, path: str, fmt: str = "csv", **options) -> None:
-    """Rebuild a folder whole: readers see the old one until the new is complete."""
-    stage = f"{path}.{uuid.uuid4().hex}"
+def write_atomic(df: DataFrame, path: str, fmt: str = "csv", **options) -> str:
+    """Rebuild a table whole under ``path``: a new version is written beside the
+    old ones, and then one small file that names it is put in place in one
+    step, so readers always see a complete one, on any file system that Spark
+    writes to. Returns the folder of the new version; older ones but the last go."""
+    spark = df.sparkSession
+    version = f"v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
     options = {"header": True, "quote": '"', "escape": '"'} | options if fmt == "csv" else options
-    df.write.format(fmt).options(**options).save(stage)
-    old = f"{path}.old"
-    if os.path.exists(path):
-        os.replace(path, old)
-    os.replace(stage, path)
-    shutil.rmtree(old, ignore_errors=True)
+    df.write.format(fmt).options(**options).save(f"{path}/{version}")
+    fs, P = _fs(spark, path), spark._jvm.org.apache.hadoop.fs.Path
+    before = current(spark, path, missing_ok=True)
+    out = fs.create(P(f"{path}/.current.{version}"), True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(P(path).toUri() if "://" in path else P(f"file://{os.path.abspath(path)}").toUri(), spark._jsc.hadoopConfiguration())
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    flags = spark.sparkContext._gateway.new_array(rename, 1)
+    flags[0] = rename.OVERWRITE
+    at = path if "://" in path else f"file://{os.path.abspath(path)}"
+    context.rename(P(f"{at}/.current.{version}"), P(f"{at}/.current"), flags)
+    for f in fs.listStatus(P(path)):
+        name = f.getPath().getName()
+        if name.startswith("v-") and name not in (version, (before or "").rsplit("/", 1)[-1]):
+            fs.delete(f.getPath(), True)
+    return f"{path}/{version}"
+
+
+def current(spark: SparkSession, path: str, missing_ok: bool = False) -> str | None:
+    """Folder of the version that ``write_atomic`` put in place last."""
+    fs, P = _fs(spark, path), spark._jvm.org.apache.hadoop.fs.Path
+    if not fs.exists(P(f"{path}/.current")):
+        if missing_ok:
+            return None
+        raise FileNotFoundError(f"no version in {path}")
+    stream = fs.open(P(f"{path}/.current"))
+    name = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    stream.close()
+    return f"{path}/{name}"
+
+
+def _fs(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def write_queues(df: DataFrame, path: str, queue: str = "queue", order: list | None = None) -> None:
@@ -88,6 +120,14 @@ def append_growing(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("mergeSchema", "true").parquet(path)
 
 
+def migrate(spark: SparkSession, path: str, columns: list[str]) -> None:
+    """Bring a grown table to one schema: all rows with these columns (absent
+    ones null) as a new version; the old files stay as a backup beside it."""
+    grown = read_grown(spark, path)
+    one = grown.select(*(F.col(f"`{c}`") if c in grown.columns else F.lit(None).cast("string").alias(c) for c in columns))
+    write_atomic(one, f"{path}.migrated", "parquet")
+
+
 def read_grown(spark: SparkSession, path: str) -> DataFrame:
     """All columns that any append brought."""
     return spark.read.option("mergeSchema", "true").parquet(path)

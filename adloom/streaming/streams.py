@@ -10,6 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adloom.operators.tables import latest_by
 
@@ -39,26 +40,64 @@ def unseen(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return df.join(known.select(key).distinct(), key, "left_anti")
 
 
-def keep_latest(df: DataFrame, key: str, at: str, order: str, out: str, checkpoint: str) -> DataFrame:
-    """Latest row per key, kept as versions: each batch writes the view merged
-    with the last one, and the newest version is the view."""
+#: buckets of the latest view; a batch rewrites only those it has keys of
+BUCKETS = 64
+
+
+def keep_latest(df: DataFrame, key: str, at: str, order: str, out: str, checkpoint: str, buckets: int = BUCKETS) -> DataFrame:
+    """Latest row per key, kept by buckets of keys: each batch writes a new
+    version of the buckets that it touches, merged with their last ones, and the
+    newest version of each bucket is the view. A batch that is run again writes
+    the same versions anew."""
     spark = df.sparkSession
     schema = df.schema
+    versions = f"{out}/versions"
+    bucket = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).cast("int")
+
+    def newest(before: int | None) -> DataFrame | None:
+        """The newest version of each bucket ahead of a batch."""
+        if not _exists(spark, versions):
+            return None
+        rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("v", T.IntegerType()), T.StructField("b", T.IntegerType())])).parquet(versions)
+        rows = rows if before is None else rows.where(F.col("v") < before)
+        last = rows.groupBy("b").agg(F.max("v").alias("v"))  # one row a bucket
+        return rows.join(F.broadcast(last), ["b", "v"])
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        old = f"{out}/v={epoch - 1}"
-        rows = batch
-        try:
-            rows = batch.unionByName(spark.read.schema(schema).parquet(old))
-        except Exception:  # noqa: BLE001 - the first batch has no version before
-            if epoch:
-                raise
-        latest_by(rows, [key], F.col(f"`{at}`"), order, undated_wins=False).write.mode("overwrite").parquet(f"{out}/v={epoch}")
+        new = batch.withColumn("b", bucket)
+        touched = new.select("b").distinct()
+        old = newest(epoch)
+        if old is not None:
+            new = new.unionByName(old.join(F.broadcast(touched), "b", "left_semi").select(*df.columns, "b"))
+        latest = latest_by(new, [key], F.col(f"`{at}`"), order, undated_wins=False)
+        latest.repartition("b").write.mode("overwrite").partitionBy("b").parquet(f"{versions}/v={epoch}")
 
     q = df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    last = (q.lastProgress or {}).get("batchId", 0)
-    return spark.read.schema(schema).parquet(f"{out}/v={last}")
+    view = newest(None)
+    return spark.createDataFrame([], schema) if view is None else view.select(*df.columns)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def complete(spark: SparkSession, runs: dict[str, str]) -> dict[str, bool]:
+    """Whether each source's stream has done all that it planned: every planned
+    batch in its checkpoint folder is committed. What follows waits for it."""
+    out = {}
+    for source, checkpoint in runs.items():
+        done = {kind: _names(spark, f"{checkpoint}/{kind}") for kind in ("offsets", "commits")}
+        out[source] = bool(done["offsets"]) and done["offsets"] <= done["commits"]
+    return out
+
+
+def _names(spark: SparkSession, path: str) -> set[str]:
+    if not _exists(spark, path):
+        return set()
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return {f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p) if f.getPath().getName().isdigit()}
 
 
 def windowed_counts(df: DataFrame, at: str, kind: str, late: str = "10 minutes", size: str = "1 day") -> DataFrame:

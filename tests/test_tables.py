@@ -168,10 +168,15 @@ def test_files(spark, tmp_path):
     out = str(tmp_path / "out")
     for n in (1, 2):
         files.write_atomic(spark.range(n).selectExpr("cast(id as string) id"), out)
-    assert files.read_csv(spark, out).count() == 2
+    assert files.read_csv(spark, files.current(spark, out)).count() == 2
+    with pytest.raises(FileNotFoundError):
+        files.current(spark, str(tmp_path / "nothing"))
     files.append_growing(spark.createDataFrame([(1,)], "a int"), str(tmp_path / "g"))
     files.append_growing(spark.createDataFrame([(2, "x")], "a int, b string"), str(tmp_path / "g"))
     assert files.read_grown(spark, str(tmp_path / "g")).columns == ["a", "b"]
+    files.migrate(spark, str(tmp_path / "g"), ["b", "a", "c"])
+    assert {(r["a"], r["b"], r["c"]) for r in spark.read.parquet(files.current(spark, str(tmp_path / "g") + ".migrated")).collect()} == {(1, None, None), (2, "x", None)}
+    assert spark.read.parquet(files.current(spark, str(tmp_path / "g") + ".migrated")).columns == ["b", "a", "c"]
     files.write_queues(spark.createDataFrame([("q1", 1), ("q2", 2)], "queue string, n int"), str(tmp_path / "q"))
     assert spark.read.parquet(str(tmp_path / "q")).count() == 2
     assert files.merged({"a": {"x": 1, "y": 2}}, {"a": {"y": 3}}) == {"a": {"x": 1, "y": 3}}
@@ -183,3 +188,39 @@ def test_streams_go_on(spark, tmp_path):
     assert streams.run(streams.first_seen(streams.read_stream(spark, src), "k"), out, state).count() == 2
     spark.createDataFrame([("b", 3), ("c", 3)], "k string, n int").write.mode("append").parquet(src)
     assert sorted(r["k"] for r in streams.run(streams.first_seen(streams.read_stream(spark, src), "k"), out, state).collect()) == ["a", "b", "c"]
+
+
+def test_latest_view_goes_on(spark, tmp_path):
+    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    rows = lambda *xs: spark.createDataFrame(xs, "k string, d int, n int").selectExpr("k", "make_timestamp(2025, 1, d, 0, 0, 0) AS at", "n")
+    run = lambda: {r["k"]: r["n"] for r in streams.keep_latest(streams.read_stream(spark, src), "k", "at", "n", out, state, buckets=4).collect()}
+    rows(("a", 1, 1), ("b", 5, 2), ("a", 3, 3)).write.parquet(src)
+    assert run() == {"a": 3, "b": 2} == run()
+    rows(("b", 2, 4), ("c", 1, 5), ("a", 9, 6)).write.mode("append").parquet(src)
+    assert run() == {"a": 6, "b": 2, "c": 5}
+    assert streams.complete(spark, {"x": state, "none": str(tmp_path / "none")}) == {"x": True, "none": False}
+
+
+def test_windows_and_unseen(spark, tmp_path):
+    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("a", 20)], "k string, d int").selectExpr("k", "make_timestamp(2025, 1, d, 1, 0, 0) AS at").write.parquet(src)
+    got = streams.run(streams.windowed_counts(streams.read_stream(spark, src), "at", "k"), out, state)
+    assert {(r["start"].day, r["k"], r["n"]) for r in got.collect()} <= {(1, "a", 2), (2, "b", 1), (20, "a", 1)}
+    known = spark.createDataFrame([("a",)], "k string")
+    assert [r["k"] for r in streams.unseen(spark.createDataFrame([("a",), ("b",)], "k string"), known, "k").collect()] == ["b"]
+
+
+def test_small_helpers(spark):
+    assert [one(spark, str(h), lambda x: dates.due(F.lit("blocked"), x.cast("double"), {"blocked": 72}, 168)) for h in (71, 72)] == [False, True]
+    assert one(spark, None, lambda x: dates.due(x, x.cast("double"), {}, 1)) is True
+    assert one(spark, "a", lambda x: urls.plan_signature(F.array(x, x))) != one(spark, "a", lambda x: urls.plan_signature(F.array(x)))
+    assert one(spark, "Vodník Data Analyst | Board", lambda x: text.cut_title(x, F.lit("vodník"))) == "Data Analyst"
+    assert not one(spark, "short", text.meaningful) and one(spark, "We look for somebody who likes tables and walks", text.meaningful)
+    old = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, t string")
+    assert {tuple(r) for r in files.repair(old, spark.createDataFrame([("a", "z"), ("b", " ")], "k string, t string"), "k", ["t"]).collect()} == {("a", "z"), ("b", "y")}
+    titles = spark.createDataFrame([(1, "Data Analyst"), (2, " data  analyst"), (3, "Tester"), (4, None)], "i int, t string")
+    assert {r["i"]: r["root"] for r in rules.classify_distinct(titles, "t", "i", rules.ROOTS).collect()} == {1: "Analyst", 2: "Analyst", 3: "Tester", 4: None}
+    p = evidence.publication(F.lit(None).cast("timestamp"), F.lit("2025-01-01").cast("timestamp"))
+    assert spark.range(1).select(p["evidence"]).first()[0] == "MINIMUM_AGE"
+    with pytest.raises(ValueError):
+        rules.check_roots(spark.createDataFrame([(2, "t", "Wizard")], "line int, title string, root string"), "title", "root", "line")
