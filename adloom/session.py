@@ -60,7 +60,7 @@ def spread(df: DataFrame, key: str, per_core: int = 3) -> DataFrame:
     planner's estimate, so nothing runs while the plan is built.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= 2 * cores * TASK_BYTES:
         return df
     return df.repartition(per_core * cores, F.col(f"`{key}`"))
