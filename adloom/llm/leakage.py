@@ -222,7 +222,9 @@ def latent(kept: DataFrame, space: Space, own: tuple, n_own: int, terms: int, ra
 
         z = np.zeros((terms, width))
         add_transposed(z, *own, times(*own, basis, n_own).astype(np.float64))
-        sums = kept.select("words").mapInPandas(multiply, "block int, part binary").groupBy("block").applyInPandas(total, "block int, part binary")
+        # each task's sum is words x rank numbers: one task a core is enough
+        few = kept.select("words").coalesce(kept.sparkSession.sparkContext.defaultParallelism)
+        sums = few.mapInPandas(multiply, "block int, part binary").groupBy("block").applyInPandas(total, "block int, part binary")
         for row in sums.collect():  # terms x width numbers
             a = row["block"] * BLOCK
             z[a : a + BLOCK] += np.frombuffer(row["part"], np.float64).reshape(-1, width)
