@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.functions.text import normalise, title_key
@@ -402,3 +402,22 @@ def check_roots(df: DataFrame, title: str, root: str, line: str) -> None:
     bad = df.where(~F.col(f"`{root}`").isin(*TAXONOMY) & (F.trim(F.col(f"`{title}`")) != "")).select(f"`{line}`", f"`{root}`").orderBy(f"`{line}`").limit(5).collect()
     if bad:
         raise ValueError("unknown roots: " + ", ".join(f"{r[1]!r} in line {r[0]}" for r in bad))
+
+
+def as_relation(spark: SparkSession, rules: list[Rule] | None = None) -> DataFrame:
+    """Rules as a table (position, label, signal, ground, pattern), to be kept and versioned."""
+    rows = [(k, r.label, r.signal, GROUNDS[r.ground][0], r.pattern) for k, r in enumerate(ROOTS if rules is None else rules)]
+    return spark.createDataFrame(rows, "position int, label string, signal string, ground string, pattern string")
+
+
+def from_relation(df: DataFrame) -> list[Rule]:
+    """Rules of a table, whose size and contents are checked before they are compiled."""
+    places = {name: k for k, (name, _) in enumerate(GROUNDS)}
+    rows = df.orderBy("position").limit(10_001).collect()
+    if len(rows) > 10_000:
+        raise ValueError("more than 10000 rules")
+    out = [Rule(r["label"], r["signal"], places.get(r["ground"], -1), r["pattern"]) for r in rows]
+    faults = taxonomy_faults(out, sorted({r.label for r in out}), {r.label: [] for r in out})
+    if faults:
+        raise ValueError("; ".join(faults))
+    return out

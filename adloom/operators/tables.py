@@ -78,34 +78,36 @@ def distinct_spelling(df: DataFrame, column: str, order: str) -> DataFrame:
     return t.groupBy(title_key(F.col("value")).alias("key")).agg(F.min_by("value", "_o").alias("value"), F.count("*").alias("n"))
 
 
-def compact_latest(df: DataFrame, key: str, order: str, good: Column, content: list[str]) -> DataFrame:
+def compact_latest(df: DataFrame, key: str, order: str, good: Column, content: list[str], at: str | None = None) -> DataFrame:
     """Last attempt of each key; if it isn't good, ``content`` comes from the
-    last good one."""
+    last good one. With ``at`` the time of the last good one is told, too."""
     whole = F.struct(*(F.col(f"`{c}`") for c in df.columns))
     body = F.struct(*(F.col(f"`{c}`").alias(c) for c in content))
     o = F.col(f"`{order}`")
     g = df.groupBy(F.col(f"`{key}`")).agg(
-        F.max_by(whole, o).alias("_last"), F.max_by(F.when(good, body), F.when(good, o)).alias("_good"), F.max_by(F.coalesce(good, F.lit(False)), o).alias("_ok"), F.count("*").alias("attempts")
+        F.max_by(whole, o).alias("_last"), F.max_by(F.when(good, body), F.when(good, o)).alias("_good"), F.max_by(F.coalesce(good, F.lit(False)), o).alias("_ok"), F.count("*").alias("attempts"),
+        *([F.max_by(F.when(good, F.col(f"`{at}`")), F.when(good, o)).alias("_success")] if at else []),
     )
     return g.select(
         *(
             (F.when(~F.col("_ok") & F.col("_good").isNotNull(), F.col(f"_good.`{c}`")).otherwise(F.col(f"_last.`{c}`")) if c in content else F.col(f"_last.`{c}`")).alias(c)
             for c in df.columns
         ),
-        "attempts",
+        "attempts", *([F.col("_success").alias("last_success")] if at else []),
     )
 
 
-def upsert(base: DataFrame, changes: DataFrame, key: str, keep: list[str] = ()) -> DataFrame:
+def upsert(base: DataFrame, changes: DataFrame, key: str, keep: list[str] = (), stamp: dict[str, Column] | None = None) -> DataFrame:
     """Rows of ``changes`` replace those of ``base`` with the same key; the
-    columns in ``keep`` stay as they were first. One row per key on both sides."""
+    columns in ``keep`` stay as they were first, those in ``stamp`` get their
+    value wherever a row came in. One row per key on both sides."""
     b = base.select(*(F.col(f"`{c}`").alias(f"_b{i}") for i, c in enumerate(base.columns)))
     k = base.columns.index(key)
     j = changes.join(b, F.col(f"`{key}`") == F.col(f"_b{k}"), "full")
     new = F.col(f"`{key}`").isNotNull()
     return j.select(
         *(
-            (F.coalesce(F.col(f"_b{i}"), F.col(f"`{c}`")) if c in keep else F.when(new, F.col(f"`{c}`")).otherwise(F.col(f"_b{i}"))).alias(c)
+            (F.coalesce(F.col(f"_b{i}"), F.col(f"`{c}`")) if c in keep else F.when(new, (stamp or {}).get(c, F.col(f"`{c}`"))).otherwise(F.col(f"_b{i}"))).alias(c)
             for i, c in enumerate(base.columns)
         )
     )
@@ -159,10 +161,11 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(pairs.alias("p")).select("p.*").groupBy("field", "value").agg(F.count("*").alias("n"))
 
 
-def argmax_label(df: DataFrame, key: str, label: str) -> DataFrame:
-    """Most frequent label per key, ties to the first by name."""
+def argmax_label(df: DataFrame, key: str, label: str, order: list[str] = ()) -> DataFrame:
+    """Most frequent label per key, ties to the first in the given order, then by name."""
     n = df.groupBy(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label")).agg(F.count("*").alias("n"))
-    return n.groupBy("key").agg(F.min_by("label", F.struct(-F.col("n"), F.col("label"))).alias("label"), F.max("n").alias("n"))
+    place = rank_of(F.col("label"), list(order), len(order))
+    return n.groupBy("key").agg(F.min_by("label", F.struct(-F.col("n"), place, F.col("label"))).alias("label"), F.max("n").alias("n"))
 
 
 def shuffled(df: DataFrame, key: str, seed: str) -> DataFrame:

@@ -20,9 +20,10 @@ def _unit_of(column: str, table: dict[str, list[str]]) -> str:
     return f"CASE {pick} END"
 
 
-def pay() -> str:
+def pay(unconverted: bool = False) -> str:
     """p5_found: the text is parted into tokens by blanks, then read by patterns
-    that begin each token with a blank."""
+    that begin each token with a blank. Or p5_unconverted: what lacks a rate or
+    a unit (all currencies of these tables are known ones)."""
     n, s, c, p = r"([0-9]+(?:\.[0-9]{1,2})?)", _tokens(units.SCALES), _tokens(units.CURRENCIES), _tokens(units.PERIODS)
     pair = rf" {n}(?: ({s}))?(?: (?:{c}))? (?:-|to|až|do|bis|and)(?: (?:{c}))? {n}(?: ({s}))? "
     one = rf" {n}(?: ({s}))? "
@@ -40,7 +41,7 @@ def pay() -> str:
     cut = lambda pattern, k: f"nullif(regexp_extract(t, {quote(pattern)}, {k}), '')"
     open_top, open_bottom = units.OPEN_TOP, units.OPEN_BOTTOM
     value = lambda amount, scale: f"round(CAST(CAST({amount} AS DECIMAL(20,4)) * coalesce(CAST({scale} AS BIGINT), 1) AS DECIMAL(18,2)) * czk * month_num / month_den)"
-    return rf"""WITH s AS (SELECT row_id, regexp_extract("ID", '^([A-Za-z]+)', 1) AS prefix, {t} AS t FROM data_analytics WHERE regexp_matches("Salary", '[0-9]')),
+    read = rf"""WITH s AS (SELECT row_id, regexp_extract("ID", '^([A-Za-z]+)', 1) AS prefix, {t} AS t FROM data_analytics WHERE regexp_matches("Salary", '[0-9]')),
 k AS (SELECT *, regexp_matches(t, {quote(pair)}) AS two FROM s WHERE regexp_matches(t, '[0-9]')),
 r AS (SELECT row_id, prefix, two, CASE WHEN two THEN {cut(pair, 1)} ELSE {cut(one, 1)} END AS lo, CASE WHEN two THEN {cut(pair, 2)} ELSE {cut(one, 2)} END AS ls,
 CASE WHEN two THEN {cut(pair, 3)} END AS hi, CASE WHEN two THEN {cut(pair, 4)} END AS hs,
@@ -48,7 +49,12 @@ CASE WHEN two THEN 'both' WHEN regexp_matches(t, {quote(rf"^[^0-9]*[ :](?:{open_
 WHEN regexp_matches(t, {quote(rf"^[^0-9]*[ :](?:{open_top})(?: (?:{c}))? [0-9]")}) OR regexp_matches(t, '[0-9] ?\+ *$') THEN 'min' ELSE 'both' END AS side,
 {cut(f" ({c}) ", 1)} AS c, {cut(f" ({p}) ", 1)} AS p FROM k),
 u AS (SELECT row_id, lo, hi, side, {_unit_of("ls", units.SCALES)} AS lx, {_unit_of("hs", units.SCALES)} AS hx, coalesce({_unit_of("c", units.CURRENCIES)}, d.currency) AS cur, coalesce({_unit_of("p", units.PERIODS)}, d.pay_unit) AS unit
-FROM r LEFT JOIN board_defaults d ON d.id_prefix = prefix WHERE lo IS NOT NULL),
+FROM r LEFT JOIN board_defaults d ON d.id_prefix = prefix WHERE lo IS NOT NULL)"""
+    if unconverted:
+        return rf"""{read}
+SELECT row_id, CASE WHEN cur IS NULL THEN 'no currency' WHEN f.currency IS NULL THEN 'no rate' ELSE 'no period' END AS reason
+FROM u LEFT JOIN fx_rates f ON f.currency = cur LEFT JOIN pay_units y ON y.unit = u.unit WHERE f.currency IS NULL OR y.unit IS NULL"""
+    return rf"""{read},
 m AS (SELECT row_id, side, {value("lo", "CASE WHEN lx IS NULL AND CAST(lo AS DOUBLE) <= CAST(hi AS DOUBLE) THEN hx ELSE lx END")} AS low, {value("hi", "hx")} AS high
 FROM u JOIN fx_rates f ON f.currency = cur JOIN pay_units y ON y.unit = u.unit)
 SELECT row_id, CAST(CASE WHEN side = 'max' THEN -1 ELSE low END AS BIGINT) AS low_czk, CAST(CASE WHEN side = 'min' THEN -1 ELSE coalesce(high, low) END AS BIGINT) AS high_czk FROM m"""

@@ -70,4 +70,4 @@ QUERIES = {
     f.__name__: f
     for f in (p2_found, p2_formats, p2_undeclared, p3_found, p4_found, p4_unified_evaluation, p4_unified_indeed_basic, p4_unified_data_analytics, p5_found, p5_unconverted)
 }
-ORACLES = {"p2_found": oracles.instants(), "p3_found": oracles.split_values(), "p4_found": oracles.header_changes(), "p5_found": oracles.pay()}
+ORACLES = {"p2_found": oracles.instants(), "p3_found": oracles.split_values(), "p4_found": oracles.header_changes(), "p5_found": oracles.pay(), "p5_unconverted": oracles.pay(unconverted=True)}

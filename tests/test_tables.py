@@ -224,3 +224,20 @@ def test_small_helpers(spark):
     assert spark.range(1).select(p["evidence"]).first()[0] == "MINIMUM_AGE"
     with pytest.raises(ValueError):
         rules.check_roots(spark.createDataFrame([(2, "t", "Wizard")], "line int, title string, root string"), "title", "root", "line")
+
+
+def test_rules_as_a_relation(spark):
+    table = rules.as_relation(spark)
+    assert rules.from_relation(table) == rules.ROOTS
+    with pytest.raises(ValueError):
+        rules.from_relation(table.withColumn("pattern", F.lit("(")))
+
+
+def test_ties_stamps_and_last_success(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y")], "k string, l string")
+    assert T.argmax_label(df, "k", "l", ["y", "x"]).first()["label"] == "y" and T.argmax_label(df, "k", "l").first()["label"] == "x"
+    base, new = (spark.createDataFrame(r, "k string, first string, at string") for r in ([("a", "1", "old"), ("b", "2", "old")], [("a", "3", None)]))
+    assert {tuple(r) for r in T.upsert(base, new, "k", keep=["first"], stamp={"at": F.lit("now")}).collect()} == {("a", "1", "now"), ("b", "2", "old")}
+    log = spark.createDataFrame([("a", 1, "ok", "c1", "t1"), ("a", 2, "failed", "", "t2")], "k string, o int, s string, c string, t string")
+    r = T.compact_latest(log, "k", "o", F.col("s") == "ok", ["c"], at="t").first()
+    assert (r["c"], r["last_success"], r["t"]) == ("c1", "t1", "t2")
