@@ -28,6 +28,8 @@ ROUNDS = 4
 #: prior rate at which a slash parts values, by the blanks around it
 PRIOR = {"spaced": 0.9, "half": 0.8, "tight": 0.2}
 PRIOR_WEIGHT = 4.0
+#: uses of a value beside the one in question, where there are none
+UNSEEN = 0.01
 #: atoms up to which every part of a run may be a value; a longer value is known
 #: by a cell that it fills alone, so none is lost and long runs stay linear
 LONG = 64
@@ -119,7 +121,7 @@ def long_keys(run: str) -> tuple[str, list[str]]:
     """The start of a long run, and all places of it where a long value may start."""
     atoms = lattice(run)[0]
     start = lambda i: "/".join(atoms[i : i + LONG + 1]).strip()
-    return start(0), sorted({start(i) for i in range(1, len(atoms) - LONG)})
+    return start(0), sorted({start(i) for i in range(len(atoms) - LONG)})
 
 
 def _log(x: float) -> float:
@@ -251,8 +253,12 @@ def _learn(runs: DataFrame, sure: DataFrame, fields: list[str], rounds: int) ->
 
     def spans(batches):
         for pdf in batches:
-            rows = [(f, run, n, v) for f, run, n in zip(pdf["field"], pdf["run"], pdf["n"]) for v in sorted({v for _, _, v in candidates(run) if v})]
-            yield pd.DataFrame(rows, columns=["field", "run", "n", "value"])
+            rows = []
+            for f, run, n in zip(pdf["field"], pdf["run"], pdf["n"]):
+                values = sorted({v for _, _, v in candidates(run) if v})
+                # before anything is learned a run's uses are spread over all that it may hold
+                rows += [(f, run, n, v, n / len(values)) for v in values]
+            yield pd.DataFrame(rows, columns=["field", "run", "n", "value", "x"])
 
     def keys(batches):
         for pdf in batches:
@@ -262,20 +268,20 @@ def _learn(runs: DataFrame, sure: DataFrame, fields: list[str], rounds: int) ->
     # a long value inside a longer run is known by a cell that it fills alone
     long_ = runs.where(F.length("run") - F.length(F.replace("run", F.lit("/"), F.lit(""))) >= LONG).mapInPandas(keys, "field string, run string, n bigint, head string, starts array<string>")
     inner = long_.select("field", "run", "n", F.explode("starts").alias("head"))
-    inner = inner.join(long_.select("field", "head", F.trim("run").alias("value")), ["field", "head"]).where(F.contains("run", "value")).select("field", "run", "n", "value")
-    cand = cut(runs.mapInPandas(spans, "field string, run string, n bigint, value string").unionByName(inner.distinct()))
+    inner = inner.join(long_.select("field", "head", F.trim("run").alias("value")), ["field", "head"]).where(F.contains("run", "value") & (F.trim("run") != F.col("value"))).select("field", "run", "n", "value", F.lit(0.0).alias("x"))
+    cand = cut(runs.mapInPandas(spans, "field string, run string, n bigint, value string, x double").unionByName(inner.distinct()))
     # of the sure values only those that a run may hold are looked up again
     total = {r["field"]: r["x"] for r in sure.groupBy("field").agg(F.sum("x").alias("x")).collect()}  # one number a field
     sure = cut(sure.join(cand.select("field", "value").distinct(), ["field", "value"], "left_semi"))
     # the styles' rates are three numbers a field
     rate = {f: dict(PRIOR) for f in fields}
-    uses = cand.groupBy("field", "value").agg((F.sum("n") * F.lit(0.5)).alias("x"))
+    uses = cand.groupBy("field", "value").agg(F.sum("x").alias("x"))
     for _ in range(rounds):
         # sure values outside the runs count in the total alone
         mass = {r["field"]: r["x"] + total.get(r["field"], 0.0) for r in uses.groupBy("field").agg(F.sum("x").alias("x")).collect()}
         whole = F.coalesce(*(F.when(F.col("field") == f, F.lit(float(x))) for f, x in mass.items()), F.lit(1.0))
-        p = uses.unionByName(sure).groupBy("field", "value").agg(F.sum("x").alias("x")).select("field", "value", (F.col("x") / whole).alias("p"))
-        given = cand.join(p, ["field", "value"]).groupBy("field", "run").agg(F.first("n").alias("n"), F.collect_list("value").alias("vals"), F.collect_list("p").alias("probs"))
+        p = uses.unionByName(sure).groupBy("field", "value").agg(F.sum("x").alias("x")).select("field", "value", (F.greatest(F.col("x") - 1, F.lit(UNSEEN)) / whole).alias("p"))
+        given = cand.drop("x").join(p, ["field", "value"]).groupBy("field", "run").agg(F.first("n").alias("n"), F.collect_list("value").alias("vals"), F.collect_list("p").alias("probs"))
         fixed = {f: dict(r) for f, r in rate.items()}
 
         def step(batches, fixed=fixed):
