@@ -80,6 +80,12 @@ def parsed(records: DataFrame, content: bool) -> DataFrame:
     return records.select("file_id", "line_no", F.explode(F.array(F.map_entries(v))).alias("e")).where(F.col("e").isNotNull()).select("file_id", "line_no", F.transform("e", cell).alias("cells"))
 
 
+def _met(df: DataFrame) -> DataFrame:
+    """One side of a join by sorting: both sides grow with the files, and what the
+    planner knows of parsed lines' size is no bound, so nothing is broadcast."""
+    return df.hint("merge")
+
+
 def _pairs(records: DataFrame) -> DataFrame:
     """(file_id, prev): each file with the preceding one of its feed."""
     files = records.groupBy("file_id").agg(F.min("feed").alias("feed"), F.min("written_at").alias("written_at"))
@@ -111,27 +117,27 @@ def _renames(records: DataFrame, gone: DataFrame, come: DataFrame) -> DataFrame:
     """(file_id, old, new): columns renamed, by what they hold beside the same values."""
     went = gone.groupBy("file_id", "prev").agg(F.collect_list("name").alias("names"))  # names of one header
     came = come.groupBy("file_id", "prev").agg(F.collect_list("name").alias("names"))
-    both = went.join(came.select("file_id", "prev", F.col("names").alias("new_names")), ["file_id", "prev"])
-    lines = parsed(records.join(both.select(F.explode(F.array("file_id", "prev")).alias("file_id")).distinct(), "file_id", "left_semi"), True)
-    before = lines.withColumnRenamed("file_id", "prev").join(both.select("file_id", "prev", "names"), "prev")
-    after = lines.join(both.select("file_id", F.col("new_names").alias("names")), "file_id")
+    both = _met(went).join(came.select("file_id", "prev", F.col("names").alias("new_names")), ["file_id", "prev"])
+    lines = parsed(_met(records).join(both.select(F.explode(F.array("file_id", "prev")).alias("file_id")).distinct(), "file_id", "left_semi"), True)
+    before = lines.withColumnRenamed("file_id", "prev").join(_met(both.select("file_id", "prev", "names")), "prev")
+    after = lines.join(_met(both.select("file_id", F.col("new_names").alias("names"))), "file_id")
     old, new = cut(_votes(before, "old")), cut(_votes(after, "new"))
     n_old = old.groupBy("file_id", "old", "x").agg(F.sum("n").alias("n_old"))
     n_new = new.groupBy("file_id", "new", "x").agg(F.sum("n").alias("n_new"))
     same = (
-        old.join(new.withColumnRenamed("n", "m"), ["file_id", "x", "y"])
+        _met(old).join(new.withColumnRenamed("n", "m"), ["file_id", "x", "y"])
         .groupBy("file_id", "old", "new", "x").agg(F.sum(F.least("n", "m")).alias("same"))
     )
     weight = 1.0 / (F.col("n_old") * F.col("n_new"))
     share = F.coalesce("same", F.lit(0)) / F.least("n_old", "n_new")
     agree = (
-        n_old.join(n_new, ["file_id", "x"]).join(same, ["file_id", "old", "new", "x"], "left")
+        _met(n_old).join(n_new, ["file_id", "x"]).join(_met(same), ["file_id", "old", "new", "x"], "left")
         .groupBy("file_id", "old", "new").agg((F.sum(weight * share) / F.sum(weight)).alias("same"))
     )
     plain = lambda x: F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]", "")
-    spelled = gone.select("file_id", F.col("name").alias("old")).join(come.select("file_id", F.col("name").alias("new")), "file_id").where(plain(F.col("old")) == plain(F.col("new")))
+    spelled = _met(gone.select("file_id", F.col("name").alias("old"))).join(come.select("file_id", F.col("name").alias("new")), "file_id").where(plain(F.col("old")) == plain(F.col("new")))
     score = (
-        agree.join(spelled.withColumn("spelled", F.lit(1.0)), ["file_id", "old", "new"], "full")
+        _met(agree).join(spelled.withColumn("spelled", F.lit(1.0)), ["file_id", "old", "new"], "full")
         .select("file_id", "old", "new", F.when(F.col("same") >= SAME_CONTENT, F.col("same")).when(F.col("same").isNull(), F.col("spelled") * 0.1).alias("score"))
         .where(F.col("score").isNotNull())
     )
@@ -144,20 +150,20 @@ def changes(records: DataFrame) -> DataFrame:
     difference of a file from the preceding one of its feed."""
     pairs = _pairs(records)
     h = cut(headers(records))
-    now = pairs.join(h, "file_id").select("file_id", "prev", "name", F.col("type").alias("t_now"), F.lit(True).alias("in_now"))
-    was = pairs.join(h.withColumnRenamed("file_id", "prev"), "prev").select("file_id", "prev", "name", F.col("type").alias("t_was"), F.lit(True).alias("in_was"))
-    both = cut(now.join(was, ["file_id", "prev", "name"], "full"))
+    now = _met(pairs).join(h, "file_id").select("file_id", "prev", "name", F.col("type").alias("t_now"), F.lit(True).alias("in_now"))
+    was = _met(pairs).join(h.withColumnRenamed("file_id", "prev"), "prev").select("file_id", "prev", "name", F.col("type").alias("t_was"), F.lit(True).alias("in_was"))
+    both = cut(_met(now).join(was, ["file_id", "prev", "name"], "full"))
     gone, come = both.where(F.col("in_now").isNull()), both.where(F.col("in_was").isNull())
     renamed = cut(_renames(records, gone, come))
     moved = (
-        renamed.join(gone.select("file_id", F.col("name").alias("old"), "t_was"), ["file_id", "old"])
-        .join(come.select("file_id", F.col("name").alias("new"), "t_now"), ["file_id", "new"])
+        _met(renamed).join(gone.select("file_id", F.col("name").alias("old"), "t_was"), ["file_id", "old"])
+        .join(_met(come.select("file_id", F.col("name").alias("new"), "t_now")), ["file_id", "new"])
     )
     row = lambda change, name, before="name": (F.lit(change).alias("change"), F.col(name).alias("column_name"), F.col(before).alias("before"), F.col("t_was").alias("type_before"), F.col("t_now").alias("type"))
     retyped = F.col("t_was") != F.col("t_now")
     return (
-        come.join(renamed.select("file_id", F.col("new").alias("name")), ["file_id", "name"], "left_anti").select("file_id", *row("added", "name"))
-        .unionByName(gone.join(renamed.select("file_id", F.col("old").alias("name")), ["file_id", "name"], "left_anti").select("file_id", *row("removed", "name")))
+        _met(come).join(renamed.select("file_id", F.col("new").alias("name")), ["file_id", "name"], "left_anti").select("file_id", *row("added", "name"))
+        .unionByName(_met(gone).join(renamed.select("file_id", F.col("old").alias("name")), ["file_id", "name"], "left_anti").select("file_id", *row("removed", "name")))
         .unionByName(moved.select("file_id", *row("renamed", "new", "old")))
         .unionByName(moved.where(retyped).select("file_id", *row("retyped", "new", "old")))
         .unionByName(both.where(F.col("in_now") & F.col("in_was") & retyped).select("file_id", *row("retyped", "name")))

@@ -78,3 +78,19 @@ def test_key_renamed_too(spark):
 def test_other_content_is_no_rename(spark):
     files = [(1, _lines(8)), (2, [{**{k: v for k, v in r.items() if k != "title"}, "pay": f"{n} 000"} for n, r in enumerate(_lines(8))])]
     assert _changes(_files(spark, files)) == [(2, "added", "pay"), (2, "removed", "title")]
+
+
+def test_nothing_that_grows_is_broadcast(spark, tmp_path, monkeypatch):
+    # a small file looks small to the planner; its lines are many in a large one
+    _files(spark, [(1, _lines(9)), (2, _lines(9, title="Role"))]).write.parquet(str(tmp_path / "records"))
+    plans, cut = [], drift.cut
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(drift, "cut", kept)
+    out = drift.changes(spark.read.parquet(str(tmp_path / "records")))
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert [(r["file_id"], r["change"], r["column_name"]) for r in out.collect()] == [(2, "renamed", "Role")]
+    assert len(plans) > 3 and not any("BroadcastExchange" in p for p in plans)
