@@ -150,8 +150,40 @@ def seniority(fields: list[Field]) -> Column:
     return found(value, join_unique(shown, " | "))
 
 
-def _windows(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(rf"[\s\S]{{0,{NEAR}}}(?:{pattern})[\s\S]{{0,{NEAR}}}"), F.lit(0))
+#: a mark before each mention; other characters stand for it in a text
+MARK, NO_MARK = "\x01", "\x02"
+
+
+def _windows(text: Column, pattern: str, later: str | None = None) -> Column:
+    """What the pattern with up to ``NEAR`` characters on both sides extracts: from
+    the first mention left, the last one begun within ``NEAR`` characters, and so on.
+
+    The mentions' places are looked up in one pass and the windows cut by number, as
+    a pattern with such a prefix is tried ``NEAR`` times at every character.
+    ``later`` is the pattern where a mention does not begin the text."""
+    # a character is taken with each mark, so that the search goes on behind it, not inside of it
+    marked = F.regexp_replace(F.translate(text, MARK, NO_MARK), rf"(?={pattern})([\s\S])", f"{MARK}$1")
+    # characters before each mention
+    sizes = F.transform(F.split(marked, MARK), F.length)
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+    add = lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["all"], F.array(acc["at"] + n)).alias("all"))
+    places = F.aggregate(F.slice(sizes, 1, F.greatest(F.size(sizes) - 1, F.lit(0))), empty, add, lambda acc: acc["all"])
+
+    def cut(places: Column) -> Column:
+        start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("end"), F.array().cast("array<string>").alias("out"))
+
+        def window(acc: Column, first: Column) -> Column:
+            begin = F.greatest(acc["end"], first - NEAR)
+            last = F.array_max(F.filter(F.slice(places, acc["k"] + 1, NEAR + 1), lambda p: p <= begin + NEAR))
+            said = F.when(last == 0, F.regexp_extract(text, f"^(?:{pattern})", 0)).otherwise(F.regexp_extract(F.substring(text, last + 1, F.length(text)), f"^(?:{later or pattern})", 0))
+            end = F.least(last + F.length(said) + NEAR, F.length(text))
+            beyond = first >= acc["end"]
+            out = F.when(beyond, F.concat(acc["out"], F.array(F.substring(text, begin + 1, end - begin)))).otherwise(acc["out"])
+            return F.struct((acc["k"] + 1).alias("k"), F.when(beyond, end).otherwise(acc["end"]).alias("end"), out.alias("out"))
+
+        return F.aggregate(places, start, window, lambda acc: acc["out"])
+
+    return F.when(text.rlike(pattern), bind(places, cut)).otherwise(F.array().cast("array<string>"))
 
 
 def word(pattern: str) -> str:
@@ -178,7 +210,7 @@ def skill_signal(pattern: str, skills: Field, prose: list[Field]) -> Column:
         )
         return found(value, F.coalesce(F.get(ws, F.lit(0)), F.when(skills.folded.rlike(p), whole(skills)), F.lit("")))
 
-    return bind(F.flatten(F.array(*(_windows(f.folded, p) for f in prose))), weigh)
+    return bind(F.flatten(F.array(*(_windows(f.folded, p, p.replace("^|", "", 1)) for f in prose))), weigh)
 
 
 #: R as an item of a list, and where the words around it speak of programming

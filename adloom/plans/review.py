@@ -9,7 +9,7 @@ from adloom.functions import dates, text, urls
 from adloom.operators import evidence as E
 from adloom.operators import tables as T
 from adloom.plans.queries import AS_OF, HOSTS, _at_sql, _GRADED, _graded, fold_sql, query, quote, word_sql
-from adloom.session import table
+from adloom.session import spread, table
 
 PAGES = "prospects_enriched_raw"
 FIELDS = [
@@ -19,7 +19,7 @@ FIELDS = [
 
 def page_values(spark, d: str, keep: list[str] = ()) -> DataFrame:
     """Every page with the values of all extractors; ``keep`` are own columns."""
-    df, f = E.with_fields(table(spark, d, PAGES).select("row_id", *dict.fromkeys([*FIELDS, *keep])), FIELDS)
+    df, f = E.with_fields(spread(table(spark, d, PAGES).select("row_id", *dict.fromkeys([*FIELDS, *keep])), "row_id"), FIELDS)
     prose = [f["Requirements"], f["Description"]]
     value = lambda x, name: x["value"].alias(name)
     return df.select(
