@@ -10,11 +10,14 @@ rules also run as plain SQL.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.functions.text import normalise, title_key
+from adloom.operators.evidence import bind
 from adloom.operators.tables import distinct_spelling
 
 
@@ -355,6 +358,10 @@ CASED = {
     r"|\b(?:using|with|in|programming in|language) R(?:[ ,.;)]|$)|\bR programming\b|\bRStudio\b|\bdata\.table\b",
     "Go": r"(?:^|[,;|/(•]\s*)Go(?:\s*[,;|/)•]|$)|\bGolang\b|\b(?:using|with|in|language|know|of) Go(?:[ ,.;)]|$)|\bGo (?:developer|programmer|programming)\b",
 }
+#: what may stand before and after a name
+BEFORE, AFTER = r"(?:^|[^a-z0-9+#.])", r"(?:$|[^a-z0-9+#])"
+#: what a text that names the tool holds, if it isn't the name
+PARTS = {"R": ("R", "data.table")}
 LEVELS = [
     ("Intern/Trainee", any_word("intern", "trainee", "stazist")), ("Junior/Entry-level", word("junior", "jr", "juniorni", "entry level", "absolvent")), ("Medior/Mid-level", word("medior", "mid", "mid level", "mediorni")),
     ("Senior", word("senior", "sr", "seniorni")), ("Lead/Head", word("lead", "head", "vedouci")), ("Executive", word("chief", "director", "ceo", "cto", "cfo", "reditel")),
@@ -364,18 +371,28 @@ LEVELS = [
 def tools(text: Column) -> Column:
     """Tools that a raw text names, in order."""
     low = F.lower(text)
-    return F.array_compact(F.array(*(F.when((text if t in CASED else low).rlike(tool_pattern(t)), F.lit(t)) for t in TOOLS)))
+    # one pass for all names: no two of them begin at one place, as none is followed by the end of a word in another
+    plain = "|".join(tool_name(t) for t in TOOLS if t not in CASED)
+    said = F.regexp_extract_all(low, F.lit(f"{BEFORE}(?=({plain}){AFTER})"), F.lit(1))
 
+    def named(said: Column) -> Column:
+        # most texts hold not even a part of the cased names, and bytes are found faster than patterns
+        cased = lambda t: reduce(or_, (text.contains(p) for p in PARTS.get(t, (t,)))) & text.rlike(tool_pattern(t))
+        return F.array_compact(F.array(*(F.when(cased(t) if t in CASED else F.array_contains(said, t.lower()), F.lit(t)) for t in TOOLS)))
 
-def tool_pattern(name: str) -> str:
-    """The tool's name as a whole word of a text in lower case; for ``CASED``
-    names of the text as written."""
+    return bind(said, named)
+
+
+def tool_name(name: str) -> str:
     import re
 
-    if name in CASED:
-        return CASED[name]
+    return re.escape(name.lower()).replace(r"\ ", " ")
 
-    return r"(?:^|[^a-z0-9+#.])" + re.escape(name.lower()).replace(r"\ ", " ") + r"(?:$|[^a-z0-9+#])"
+
+def tool_pattern(name: str) -> str:
+    """The tool's name as a whole word of a text in lower case; for ``CASED``
+    names of the text as written."""
+    return CASED.get(name) or BEFORE + tool_name(name) + AFTER
 
 
 def taxonomy_faults(roots: list[Rule] | None = None, taxonomy: list[str] | None = None, subtypes: dict | None = None) -> list[str]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adloom.functions import dates, text, urls
 from adloom.operators import evidence, rules
 from adloom.operators import tables as T
-from adloom.session import checkpoint_dir, table
+from adloom.session import checkpoint_dir, spread, table
 from adloom.sources import pages
 from adloom.streaming import streams
 
@@ -335,7 +335,7 @@ _tool_sql = lambda c: "array_to_string(list_filter([" + ", ".join(f"CASE WHEN re
 @query(f"""SELECT doc_id, {_tool_sql("coalesce(text, '')")} AS tools FROM documents""")
 def document_tools(spark, d):
     """Tools named in each document."""
-    return table(spark, d, "documents").select("doc_id", F.array_join(rules.tools(F.coalesce(F.col("text"), F.lit(""))), ", ").alias("tools"))
+    return spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id").select("doc_id", F.array_join(rules.tools(F.coalesce(F.col("text"), F.lit(""))), ", ").alias("tools"))
 
 
 def _subtype_sql(t: str, root: str) -> str:
