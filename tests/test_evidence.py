@@ -42,3 +42,11 @@ def test_long_pages_take_no_minutes(spark, data, tmp_path):
 def test_pages_are_spread(spark, data):
     # one small file would else be one task
     assert review.page_values(spark, data).rdd.getNumPartitions() > 1
+
+
+def test_counts_of_long_pages_take_no_minutes(spark, data, tmp_path):
+    pages = spark.read.parquet(f"{data}/{review.PAGES}.parquet").limit(20)
+    pages.withColumn("Requirements", F.repeat(F.lit("lorem ipsum dolor "), 6000)).coalesce(1).write.parquet(str(tmp_path / f"{review.PAGES}.parquet"))
+    began = time.time()
+    counts = review.evidence_counts(spark, str(tmp_path)).groupBy("field").agg(F.sum("n").alias("n")).collect()
+    assert {r["n"] for r in counts} == {pages.count()} and time.time() - began < 60
