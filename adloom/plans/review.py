@@ -13,20 +13,20 @@ from adloom.session import spread, table
 
 PAGES = "prospects_enriched_raw"
 FIELDS = [
-    "Languages", "Requirements", "Description", "Page_Language", "Seniority_Detail", "Seniority_Input", "Job_Title_Page", "Job_Title_Input", "Skills", "Remote_Mode", "Current_Status", "HTTP_Status", "Status_Evidence",
+    "Languages", "Requirements", "Description", "Page_Language", "Seniority_Detail", "Seniority_Input", "Job_Title_Page", "Job_Title_Input", "Skills", "Remote_Mode", "Current_Status", "HTTP_Status",
 ]
 
 
 def page_values(spark, d: str, keep: list[str] = ()) -> DataFrame:
     """Every page with the values of all extractors; ``keep`` are own columns."""
-    df, f = E.with_fields(spread(table(spark, d, PAGES).select("row_id", *dict.fromkeys([*FIELDS, *keep])), "row_id"), FIELDS)
+    df, f = E.with_fields(spread(table(spark, d, PAGES).select("row_id", *dict.fromkeys([*FIELDS, *keep])), "row_id"), FIELDS, shown=False)
     prose = [f["Requirements"], f["Description"]]
     value = lambda x, name: x["value"].alias(name)
     return df.select(
         "row_id", *keep, value(E.czech_requirement(f["Languages"], *prose), "czech"), value(E.english_acceptable(f["Languages"], *prose, f["Page_Language"]), "english"),
         E.minimum_years(f["Seniority_Detail"], *prose).alias("years"), value(E.seniority([f[n] for n in ("Seniority_Detail", "Seniority_Input", "Job_Title_Page", "Job_Title_Input")]), "seniority"),
-        *(value(E.skill_signal(p, f["Skills"], prose), name) for name, p in E.SKILLS.items()), value(E.r_signal(f["Skills"], prose), "r"),
-        value(E.work_mode(f["Remote_Mode"], prose), "work_mode"), value(E.page_status(f["Current_Status"], f["HTTP_Status"], f["Status_Evidence"]), "status"),
+        *(value(E.skill_signal(p, f["Skills"], prose, E.SKILL_SAYS[name]), name) for name, p in E.SKILLS.items()), value(E.r_signal(f["Skills"], prose), "r"),
+        value(E.work_mode(f["Remote_Mode"], prose), "work_mode"), value(E.page_status(f["Current_Status"], f["HTTP_Status"]), "status"),
     )
 
 
